@@ -35,8 +35,12 @@ def with_terms(df: DataFrame, text: str, stop_words: list[str], longest: int = 2
     return staged.withColumn(out, F.concat(*grams)).drop("_raw", *grams)
 
 
-def _with_runs(df: DataFrame, terms: str) -> DataFrame:
-    """Add `_runs`: the distinct terms of a text with their counts, read off the runs of the sorted array."""
+def _term_rows(df: DataFrame, terms: str) -> DataFrame:
+    """One row per text and distinct term, with its count `n`, read off the runs of the sorted array.
+
+    Nothing is shuffled. The outer form of `inline` keeps the optimizer from deriving a "not empty" filter, which
+    would compute the whole expression again below every step.
+    """
     size = F.size("_sorted")
     ends = F.filter(
         F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>")),
@@ -46,14 +50,15 @@ def _with_runs(df: DataFrame, terms: str) -> DataFrame:
     runs = F.zip_with(
         "_ends", starts, lambda e, s: F.struct(F.get("_sorted", e - 1).alias("term"), (e - s).alias("n"))
     )
-    staged = df.withColumn("_sorted", F.array_sort(terms)).withColumn("_ends", ends)
-    return staged.withColumn("_runs", runs).drop("_sorted", "_ends")
+    staged = df.withColumn("_sorted", F.sort_array(terms)).withColumn("_ends", ends)
+    others = [c for c in df.columns if c != terms]
+    rows = staged.select(*others, runs.alias("_runs")).select(*others, F.inline_outer("_runs"))
+    return rows.filter(F.col("term").isNotNull())
 
 
 def term_counts(df: DataFrame, by: list[str] = [], terms: str = "terms") -> DataFrame:
     """Occurrences and texts per term, from one pass and one shuffle of partly aggregated rows."""
-    runs = _with_runs(df.select(*by, terms), terms).select(*by, F.inline("_runs"))
-    return runs.groupBy(*by, "term").agg(F.sum("n").cast("long").alias("tf"), F.count(F.lit(1)).alias("df"))
+    return _term_rows(df.select(*by, terms), terms).groupBy(*by, "term").agg(F.sum("n").cast("long").alias("tf"), F.count(F.lit(1)).alias("df"))
 
 
 def ngram_vocabulary(df: DataFrame, min_df: int = 2, max_features: int = 5000, terms: str = "terms") -> DataFrame:
@@ -73,13 +78,13 @@ def tfidf_weights(df: DataFrame, key: str, vocabulary: DataFrame, n_texts: Colum
     are shuffled, once, as one row per text.
     """
     weights = vocabulary.select("term", idf(n_texts, F.col("df")).alias("_idf"))
-    counted = _with_runs(df.select(key, terms), terms).select(key, F.inline("_runs"))
+    counted = _term_rows(df.select(key, terms), terms)
     known = counted.join(F.broadcast(weights), "term").withColumn("_w", F.col("n") * F.col("_idf"))
     per_text = known.groupBy(key).agg(
         F.collect_list(F.struct("term", F.col("_w").alias("w"))).alias("_ws"),
         F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"),
     )
-    rows = per_text.select(key, "_norm", F.inline("_ws"))
+    rows = per_text.select(key, "_norm", F.inline_outer("_ws"))
     return rows.select(key, "term", (F.col("w") / F.col("_norm")).alias("weight"))
 
 

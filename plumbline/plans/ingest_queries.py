@@ -40,7 +40,7 @@ def s2(v):
     return kept
 
 
-@query("s2_rejected_lines", "SELECT concat(event_id, ',n/a') AS line FROM events WHERE event_type = 'error'")
+@query("s2_rejected_lines", "SELECT concat(event_id, ',n/a') AS line, event_id, CAST(NULL AS DOUBLE) AS value FROM events WHERE event_type = 'error'")
 def s2_rejects(v):
     path = run_folder(v.spark, "csv-errors")
     shown = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))

@@ -582,11 +582,11 @@ def a26(v):
            UNION ALL SELECT 'self_preference', 'own_forward', own_forward FROM own WHERE judge IS NULL
            UNION ALL SELECT 'self_preference', 'own_swapped', own_swapped FROM own WHERE judge IS NULL
            UNION ALL SELECT 'self_preference', 'own_pooled_rate', own_pooled_rate FROM own WHERE judge IS NULL
-           UNION ALL SELECT 'verbosity_bias', 'n_padded', n_padded FROM verbose
-           UNION ALL SELECT 'verbosity_bias', 'n_increased', n_increased FROM verbose""",
+           UNION ALL SELECT 'verbosity_bias', 'n_padded', n_padded FROM padding
+           UNION ALL SELECT 'verbosity_bias', 'n_increased', n_increased FROM padding""",
         position=_POSITION,
         own=_SELF,
-        verbose=_VERBOSE,
+        padding=_VERBOSE,
     ),
 )
 def l7(v):

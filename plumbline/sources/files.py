@@ -29,7 +29,9 @@ def csv_scan_skip_errors(spark: SparkSession, path: str, schema: T.StructType) -
     options = {**_CSV, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT, "columnPruning": "false"}
     rows = spark.read.options(**options).schema(marked).csv(path)
     kept = rows.filter(F.col(_REJECT).isNull()).drop(_REJECT)
-    return kept, rows.filter(F.col(_REJECT).isNotNull()).select(F.col(_REJECT).alias("line"))
+    # Spark does not allow a read of the reject column alone, and what could be parsed is worth showing.
+    rejected = rows.filter(F.col(_REJECT).isNotNull())
+    return kept, rejected.select(F.col(_REJECT).alias("line"), *schema.fieldNames())
 
 
 def write_csv(df: DataFrame, path: str) -> None:
