@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -14,13 +18,22 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import flag_to_int, number_or_zero, rounded
 from plumbline.operators.features import english_stop_words, ngram_vocabulary, term_counts, vectorizer, with_terms
 from plumbline.operators.metrics import predict_majority, score_ranked
 from plumbline.operators.sampling import stratified_kfold
+from plumbline.storage import checkpointed
+
+Result = TypeVar("Result")
+
+
+def for_each_fold(spark: SparkSession, k: int, fit: Callable[[int], Result]) -> list[Result]:
+    """Results of `fit` for the folds 0..k-1. The fits do not depend on each other, so their jobs run side by side."""
+    with ThreadPoolExecutor(max_workers=k) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(fit), range(k)))
 
 
 @dataclass(frozen=True)
@@ -32,6 +45,7 @@ class TextParams:
     longest: int = 2
     max_iter: int = 1000
     c: float = 1.0
+    tol: float = 1e-5  # leaves every component of the mean loss gradient below 1e-4
     stop_words: tuple[str, ...] | None = None
 
     def stop_list(self) -> list[str]:
@@ -56,7 +70,7 @@ def fit_balanced_lr(df: DataFrame, label: str, n_rows: int, params: TextParams,
         elasticNetParam=0.0,
         standardization=False,
         maxIter=params.max_iter,
-        tol=1e-6,
+        tol=params.tol,
     )
     return estimator.fit(balanced_weights(df, label))
 
@@ -101,29 +115,29 @@ def cross_val_predict(df: DataFrame, key: str, label: str, text: str, k: int = 5
     work inside is distributed.
     """
     folds = stratified_kfold(df, key, label, k)
-    terms = with_terms(df.select(key, text), text, params.stop_list(), params.longest)
-    rows = folds.join(terms.select(key, "terms"), key).persist()
+    # The texts are joined to their folds before they are cut into terms: a text is smaller than its n-grams.
+    texts = folds.join(df.select(key, text), key)
+    terms = with_terms(texts, text, params.stop_list(), params.longest)
+    rows = terms.select(key, label, "fold", "terms").persist()
+    counted = fold_vocabularies(rows, "fold", k, params).persist()
+
+    def out_of_fold(fold: int) -> DataFrame:
+        vocabulary = (
+            counted.filter(F.col("held_out") == fold).orderBy(F.desc("tf"), F.asc("term")).limit(params.max_features)
+        )
+        transform, model, _ = fit_text_model(rows.filter(F.col("fold") != fold), vocabulary, label, params)
+        scored = model.transform(transform.transform(rows.filter(F.col("fold") == fold)))
+        return scored.select(
+            key,
+            label,
+            "fold",
+            F.col("prediction").cast("int").alias("predicted_label"),
+            vector_to_array("probability")[1].alias("p"),
+        )
+
     try:
-        counted = fold_vocabularies(rows, "fold", k, params).persist()
-        parts = []
-        for fold in range(k):
-            vocabulary = (
-                counted.filter(F.col("held_out") == fold)
-                .orderBy(F.desc("tf"), F.asc("term"))
-                .limit(params.max_features)
-            )
-            transform, model, _ = fit_text_model(rows.filter(F.col("fold") != fold), vocabulary, label, params)
-            scored = model.transform(transform.transform(rows.filter(F.col("fold") == fold)))
-            parts.append(
-                scored.select(
-                    key,
-                    label,
-                    "fold",
-                    F.col("prediction").cast("int").alias("predicted_label"),
-                    vector_to_array("probability")[1].alias("p"),
-                )
-            )
-        return reduce(DataFrame.unionByName, parts)
+        counted.count()
+        return checkpointed(reduce(DataFrame.unionByName, for_each_fold(df.sparkSession, k, out_of_fold)))
     finally:
         counted.unpersist()
         rows.unpersist()
@@ -261,13 +275,14 @@ def cv_score(df: DataFrame, key: str, label: str, k: int, params: TreeParams, di
     """Mean and population deviation of ROC AUC and F1 over k stratified folds; each fold is fitted once."""
     folds = stratified_kfold(df, key, label, k).select(key, "fold")
     rows = df.join(folds, key).persist()
+
+    def out_of_fold(fold: int) -> DataFrame:
+        model = fit_gbt_churn(rows.filter(F.col("fold") != fold), label, params)
+        return gbt_scores(model, rows.filter(F.col("fold") == fold), key, label).withColumn("fold", F.lit(fold))
+
     try:
-        parts = []
-        for fold in range(k):
-            model = fit_gbt_churn(rows.filter(F.col("fold") != fold), label, params)
-            part = gbt_scores(model, rows.filter(F.col("fold") == fold), key, label)
-            parts.append(part.withColumn("fold", F.lit(fold)))
-        scored = reduce(DataFrame.unionByName, parts)
+        rows.count()
+        scored = checkpointed(reduce(DataFrame.unionByName, for_each_fold(df.sparkSession, k, out_of_fold)))
         per_fold = score_ranked(scored, label, "predicted_label", "p", ["fold"])
     finally:
         rows.unpersist()
