@@ -18,20 +18,28 @@ _CSV = {
 
 
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV file or folder with a header, read under an explicit schema."""
+    """A CSV file or folder with a header, read under an explicit schema; an empty field is NULL."""
     return spark.read.options(**_CSV).schema(schema).csv(path)
 
 
 def csv_scan_skip_errors(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Readable rows, and the raw text of the others instead of losing them silently."""
-    marked = T.StructType([*schema.fields, T.StructField(_REJECT, T.StringType(), True)])
-    # Every column is parsed, whichever are selected later, so that a row is judged as a whole.
-    options = {**_CSV, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT, "columnPruning": "false"}
+    """Readable rows, and the text of the others instead of losing them silently.
+
+    A row is bad if it has the wrong number of fields or a field that is not of its column's type. Fields are read
+    as text and cast here, so that every field is judged, whichever columns are selected later.
+    """
+    as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    marked = as_text.add(_REJECT, T.StringType())
+    options = {**_CSV, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT}
     rows = spark.read.options(**options).schema(marked).csv(path)
-    kept = rows.filter(F.col(_REJECT).isNull()).drop(_REJECT)
-    # Spark does not allow a read of the reject column alone, and what could be parsed is worth showing.
-    rejected = rows.filter(F.col(_REJECT).isNotNull())
-    return kept, rejected.select(F.col(_REJECT).alias("line"), *schema.fieldNames())
+    names = schema.fieldNames()
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    bad = F.col(_REJECT).isNotNull()
+    for name in names:
+        bad = bad | (F.col(name).isNotNull() & typed[name].isNull())
+    kept = rows.filter(~bad).select(*(typed[name].alias(name) for name in names))
+    line = F.coalesce(F.col(_REJECT), F.to_csv(F.struct(*names)))
+    return kept, rows.filter(bad).select(line.alias("line"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
