@@ -8,6 +8,7 @@ from plumbline.operators import features, metrics, models
 from plumbline.operators.sampling import stratified_split
 from plumbline.plans.registry import query
 from plumbline.plans.views import ACCOUNT_ROLES, K, PHRASES, sql
+from plumbline.session import spread
 
 STOP = ["the", "of", "and", "in", "to", "de", "la", "que", "die", "und"]
 TREES = models.TreeParams(trees=20)
@@ -21,7 +22,8 @@ _COUNTED = "SELECT complaint_id, term, count(*) AS n FROM (SELECT complaint_id,
 
 
 def terms(v):
-    return features.with_terms(v.complaints.select("complaint_id", "narrative"), "narrative", STOP)
+    texts = spread(v.complaints.select("complaint_id", "narrative"))
+    return features.with_terms(texts, "narrative", STOP)
 
 
 @query(
@@ -81,8 +83,10 @@ def m3(v):
     rows = features.with_terms(
         v.golden.select("complaint_id", "churn_signal", "narrative"), "narrative", params.stop_list()
     ).select("complaint_id", "churn_signal", "terms")
+    rows = rows.persist()
     vocabulary = features.ngram_vocabulary(rows, params.min_df, params.max_features)
     transform, model, _ = models.fit_text_model(rows, vocabulary, "churn_signal", params)
+    rows.unpersist()
     scored = model.transform(transform.transform(rows))
     return scored.select("complaint_id", "churn_signal", F.col("prediction").cast("int").alias("predicted_label"))
 

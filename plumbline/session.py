@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -23,3 +23,13 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan with at least one partition per core, for work that costs far more than moving the rows.
+
+    Only inputs with fewer splits than cores are moved; a large table has many more splits and stays as it is.
+    Give it a plain scan: the number of partitions is then known without running anything.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
