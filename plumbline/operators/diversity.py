@@ -39,7 +39,7 @@ def diversity_stats(df: DataFrame, setting: str, text: str, digits: int = 4) ->
         F.count(F.lit(1)).alias("distinct_outputs"), F.sum("copies").cast("long").alias("n")
     )
     sets = (
-        outputs.withColumn("words", F.array_sort(word_set(F.col(text))))
+        outputs.withColumn("words", F.sort_array(word_set(F.col(text))))
         .groupBy(setting, "words")
         .agg(F.sum("copies").alias("m"))
     )

@@ -76,10 +76,12 @@ def pooled_confusion(preds: DataFrame, y: str, pred: str) -> DataFrame:
     return confusion_matrix(preds, y, pred, ["model"])
 
 
-def _score_steps(df: DataFrame, y: str, p: str, by: list[str]) -> DataFrame:
+def _score_steps(df: DataFrame, y: str, p: str, by: list[str], more: dict[str, Column]) -> DataFrame:
     """Per distinct score the positives and negatives at it and all of them up to it, from the highest score down."""
     steps = df.groupBy(*by, p).agg(
-        F.sum(F.col(y).cast("long")).alias("pos"), F.sum((1 - F.col(y)).cast("long")).alias("neg")
+        F.sum(F.col(y).cast("long")).alias("pos"),
+        F.sum((1 - F.col(y)).cast("long")).alias("neg"),
+        *(value.alias(name) for name, value in more.items()),
     )
     falling = steps.withColumn("_down", -F.col(p))
     bucketed = range_bucket(falling, "_down", range_cuts(df.select((-F.col(p)).alias("_down")), "_down"))
@@ -87,16 +89,20 @@ def _score_steps(df: DataFrame, y: str, p: str, by: list[str]) -> DataFrame:
     return running_totals(bucketed, by, F.col("_range"), [F.col("_down")], measures).drop("_range", "_down")
 
 
-def _curve_sums(df: DataFrame, y: str, p: str, by: list[str]) -> DataFrame:
-    steps = _score_steps(df, y, p, by)
+def _curve_sums(df: DataFrame, y: str, p: str, by: list[str], more: dict[str, Column] = {}) -> DataFrame:
+    """Totals over the distinct scores from which every ranking metric follows; `more` are counts to carry along."""
+    steps = _score_steps(df, y, p, by, more)
     # A positive outranks the negatives after it and ties with those at its own score.
     beaten = F.col("pos").cast("double") * (F.col("neg_to") - F.col("neg") / 2)
     at_recall = F.col("pos").cast("double") * F.col("pos_to") / (F.col("pos_to") + F.col("neg_to"))
+    squares = F.col("pos") * F.pow(1 - F.col(p), 2) + F.col("neg") * F.pow(F.col(p), 2)
     return steps.groupBy(*by).agg(
         F.sum("pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),
         F.sum(beaten).alias("_losses"),
         F.sum(at_recall).alias("_precision_mass"),
+        F.sum(squares).alias("_squares"),
+        *(F.sum(name).alias(name) for name in more),
     )
 
 
@@ -121,14 +127,16 @@ def brier_score(df: DataFrame, y: str, p: str, by: list[str] = []) -> DataFrame:
 
 
 def score_ranked(df: DataFrame, y: str, pred: str, p: str, by: list[str]) -> DataFrame:
-    """The binary scores, ROC AUC, average precision and Brier score of every group in one row."""
-    binary = score_binary(df, y, pred, by).select(*by, *METRICS)
-    curve = _curve_sums(df, y, p, by).select(
+    """The binary scores, ROC AUC, average precision and Brier score of every group in one row, without a join:
+    the confusion cells and squared errors are counted per distinct score along with the classes."""
+    cells = {name: _cell(truth, guess, y, pred) for name, (truth, guess) in zip(CELLS, [(0, 0), (0, 1), (1, 0), (1, 1)])}
+    return _curve_sums(df, y, p, by, cells).select(
         *by,
+        *(value.alias(name) for name, value in _scores().items()),
         _auc().alias("roc_auc"),
         ratio(F.col("_precision_mass"), F.col("n_pos")).alias("pr_auc"),
+        (F.col("_squares") / (F.col("n_pos") + F.col("n_neg"))).alias("brier_score"),
     )
-    return binary.join(curve, by).join(brier_score(df, y, p, by), by)
 
 
 def group_rate(df: DataFrame, group: str, label: str, digits: int = 1) -> DataFrame:

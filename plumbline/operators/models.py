@@ -29,6 +29,8 @@ from plumbline.storage import checkpointed
 
 Result = TypeVar("Result")
 
+ROWS_PER_PART = 20_000  # training rows per partition of a text model
+
 
 def for_each_fold(spark: SparkSession, k: int, fit: Callable[[int], Result]) -> list[Result]:
     """Results of `fit` for the folds 0..k-1. The fits do not depend on each other, so their jobs run side by side."""
@@ -100,7 +102,9 @@ def fit_text_model(train: DataFrame, vocabulary: DataFrame, label: str, params:
     """Vectorizer and classifier of one training part; `train` has `terms`."""
     n_rows = train.count()
     transform, names = vectorizer(vocabulary, n_rows)
-    vectors = transform.transform(train).select(label, "features").persist()
+    # Every iteration is one job over these rows, so small parts would cost more to schedule than to read.
+    parts = max(1, -(-n_rows // ROWS_PER_PART))
+    vectors = transform.transform(train).select(label, "features").coalesce(parts).persist()
     try:
         model = fit_balanced_lr(vectors, label, n_rows, params)
     finally:
