@@ -29,7 +29,9 @@ from plumbline.storage import checkpointed
 
 Result = TypeVar("Result")
 
-ROWS_PER_PART = 20_000  # training rows per partition of a text model
+# Training rows per partition. A fit is a long series of jobs over cached rows; many tiny parts only add scheduling.
+ROWS_PER_PART = 20_000  # text vectors
+ROWS_PER_TREE_PART = 100_000  # account features
 
 
 def for_each_fold(spark: SparkSession, k: int, fit: Callable[[int], Result]) -> list[Result]:
@@ -102,7 +104,6 @@ def fit_text_model(train: DataFrame, vocabulary: DataFrame, label: str, params:
     """Vectorizer and classifier of one training part; `train` has `terms`."""
     n_rows = train.count()
     transform, names = vectorizer(vocabulary, n_rows)
-    # Every iteration is one job over these rows, so small parts would cost more to schedule than to read.
     parts = max(1, -(-n_rows // ROWS_PER_PART))
     vectors = transform.transform(train).select(label, "features").coalesce(parts).persist()
     try:
@@ -248,8 +249,10 @@ class TreeParams:
 
 def fit_gbt_churn(df: DataFrame, label: str, params: TreeParams = TreeParams()) -> GBTClassificationModel:
     """Boosted trees with a positive row weighing as much as the negatives per positive."""
-    totals = df.agg(F.avg(label).alias("rate")).scalar()
-    weighted = df.withColumn("weight", F.when(F.col(label) == 1, (1 - totals) / totals).otherwise(1.0))
+    counts = df.agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("rate")).first()
+    parts = max(1, -(-counts["n"] // ROWS_PER_TREE_PART))
+    positive = F.lit((1 - counts["rate"]) / counts["rate"])
+    weighted = df.withColumn("weight", F.when(F.col(label) == 1, positive).otherwise(1.0)).coalesce(parts)
     estimator = GBTClassifier(
         labelCol=label,
         weightCol="weight",

@@ -335,13 +335,14 @@ def j9(v):
     "j11_sweep_expand",
     sql(
         "outputs",
-        """SELECT setting, value, CAST(repeat AS INTEGER) AS repeat, length(output) AS n
-           FROM (SELECT setting, output FROM outputs WHERE repeat = 0),
+        """SELECT prompt_id, value, CAST(repeat AS INTEGER) AS repeat, n
+           FROM (SELECT setting * 100 + repeat AS prompt_id, length(output) AS n FROM outputs),
                 (VALUES (0.0 :: DOUBLE), (0.7 :: DOUBLE), (1.5 :: DOUBLE)) AS t(value), range(1, 4) AS r(repeat)""",
     ),
 )
 def j11(v):
-    prompts = v.outputs.filter(F.col("repeat") == 0).select("setting", F.length("output").cast("long").alias("n"))
+    prompt_id = F.col("setting") * 100 + F.col("repeat")
+    prompts = v.outputs.select(prompt_id.alias("prompt_id"), F.length("output").cast("long").alias("n"))
     return joins.sweep_expand(prompts, [0.0, 0.7, 1.5], 3)
 
 
