@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from plumbline.llm.packing import op2_packing
 from plumbline.llm.simhash import op5_simhash
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op5_simhash": op5_simhash,
 }
 SQL: dict[str, str] = {}
