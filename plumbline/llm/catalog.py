@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from plumbline.llm.packing import op2_packing
 from plumbline.llm.simhash import op5_simhash
+from plumbline.llm.warc import op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op5_simhash": op5_simhash,
 }
