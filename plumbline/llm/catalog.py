@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from plumbline.llm.chat import OP4_SQL, op4_chat
 from plumbline.llm.packing import op2_packing
 from plumbline.llm.simhash import op5_simhash
 from plumbline.llm.warc import op1_warc
@@ -9,6 +10,9 @@ from plumbline.llm.warc import op1_warc
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op4_chat": op4_chat,
     "op5_simhash": op5_simhash,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_chat": OP4_SQL,
+}
