@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from plumbline.llm.chat import OP4_SQL, op4_chat
 from plumbline.llm.packing import op2_packing
+from plumbline.llm.quality_rules import op10_quality_rules
 from plumbline.llm.simhash import op5_simhash
+from plumbline.llm.toxicity import op9_toxicity
 from plumbline.llm.warc import op1_warc
 
 QUERIES = {
@@ -12,6 +14,8 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_chat": op4_chat,
     "op5_simhash": op5_simhash,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {
     "op4_chat": OP4_SQL,
