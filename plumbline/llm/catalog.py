@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from plumbline.llm.chat import OP4_SQL, op4_chat
+from plumbline.llm.line_dedup import op3_line_dedup
 from plumbline.llm.packing import op2_packing
 from plumbline.llm.quality_rules import op10_quality_rules
 from plumbline.llm.simhash import op5_simhash
@@ -12,6 +13,7 @@ from plumbline.llm.warc import op1_warc
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op3_line_dedup": op3_line_dedup,
     "op4_chat": op4_chat,
     "op5_simhash": op5_simhash,
     "op9_toxicity": op9_toxicity,
