@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from plumbline.llm.chat import OP4_SQL, op4_chat
+from plumbline.llm.decontamination import op7_decontamination
 from plumbline.llm.line_dedup import op3_line_dedup
 from plumbline.llm.packing import op2_packing
 from plumbline.llm.quality_rules import op10_quality_rules
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_chat": op4_chat,
     "op5_simhash": op5_simhash,
+    "op7_decontamination": op7_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
