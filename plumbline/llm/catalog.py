@@ -16,6 +16,7 @@ from plumbline.llm.chat import OP4_SQL, op4_chat
 from plumbline.llm.decontamination import op7_decontamination
 from plumbline.llm.line_dedup import op3_line_dedup
 from plumbline.llm.packing import op2_packing
+from plumbline.llm.quality_cotraining import op6_quality_cotraining
 from plumbline.llm.quality_rules import op10_quality_rules
 from plumbline.llm.simhash import op5_simhash
 from plumbline.llm.toxicity import op9_toxicity
@@ -61,6 +62,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_chat": op4_chat,
     "op5_simhash": op5_simhash,
+    "op6_quality_cotraining": op6_quality_cotraining,
     "op7_decontamination": op7_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
