@@ -18,6 +18,7 @@ from plumbline.llm.line_dedup import op3_line_dedup
 from plumbline.llm.packing import op2_packing
 from plumbline.llm.quality_cotraining import op6_quality_cotraining
 from plumbline.llm.quality_rules import op10_quality_rules
+from plumbline.llm.secrets import op8_secrets
 from plumbline.llm.simhash import op5_simhash
 from plumbline.llm.toxicity import op9_toxicity
 from plumbline.llm.warc import op1_warc
@@ -64,6 +65,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_quality_cotraining": op6_quality_cotraining,
     "op7_decontamination": op7_decontamination,
+    "op8_secrets": op8_secrets,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
