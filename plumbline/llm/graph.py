@@ -5,40 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.storage import checkpointed
+from plumbline.storage import run_folder
 
 
-def _scatter(x: Column) -> Column:
-    """A one-to-one scrambling of a long, so that chains of neighbouring ids do not hook one by one."""
-    x = x.bitwiseXOR(F.shiftleft(x, 13))
-    x = x.bitwiseXOR(F.shiftrightunsigned(x, 7))
-    return x.bitwiseXOR(F.shiftleft(x, 17))
+def landed(df: DataFrame, path: str) -> DataFrame:
+    """df written to the shared folder and read again: nothing of its plan is left."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _placed(node: Column) -> Column:
+    """A node behind its hash: in this order neighbours in a chain do not hook one by one."""
+    return F.struct(F.xxhash64(node).alias("place"), node.alias("node"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Edges (a, b) of longs to (node, root): equal roots for connected nodes, one row for each node of an edge.
 
-    Each round sends every node to its smallest neighbour and contracts the edges, so a round leaves a fraction of the
-    nodes; rounds are cut by reliable checkpoints. All steps are aggregates and equi-joins, which Spark can split when
-    one node has most edges. Null ends and loops are ignored; repeated edges count once; no edges give no rows.
+    Each round sends every node to the smallest of itself and its neighbours and contracts the edges, so a round leaves a
+    fraction of the nodes. Rounds are written to the shared folder. All steps are aggregates and equi-joins, which Spark
+    can split when one node has most edges. Null ends and loops are ignored; repeated edges count once; no edges give no
+    rows.
     """
-    left = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(
-        _scatter(F.col("a")).alias("a"), _scatter(F.col("b")).alias("b"), "a", "b"
-    ).toDF("a", "b", "node_a", "node_b")
-    left = checkpointed(left)
-    names = left.select(F.explode(F.array(
-        F.struct(F.col("node_a").alias("node"), F.col("a").alias("root")),
-        F.struct(F.col("node_b").alias("node"), F.col("b").alias("root")),
-    )).alias("n")).select("n.*").distinct()
-    left = left.select("a", "b").distinct()
+    folder = run_folder(edges.sparkSession, "components")
+    known = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
+    left = landed(known.select(_placed(F.col("a")).alias("a"), _placed(F.col("b")).alias("b")).distinct(), f"{folder}/edges-0")
+    names = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("root"))
+    number = 0
     while not left.isEmpty():
-        both = left.union(left.select("b", "a"))
-        step = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to"))
-        step = checkpointed(step.withColumnRenamed("a", "root"))
-        ends = left.join(step.select(F.col("root").alias("a"), F.col("to").alias("ta")), "a")
-        ends = ends.join(step.select(F.col("root").alias("b"), F.col("to").alias("tb")), "b")
-        left = checkpointed(ends.where("ta != tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
-        names = checkpointed(
-            names.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-        )
-    return names
+        number += 1
+        both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        step = landed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to")), f"{folder}/steps-{number}")
+        ends = left.join(step.select("a", F.col("to").alias("ta")), "a").join(step.select(F.col("a").alias("b"), F.col("to").alias("tb")), "b")
+        kept = ends.where("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct()
+        left = landed(kept, f"{folder}/edges-{number}")
+        moved = names.join(step.select(F.col("a").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+        names = landed(moved, f"{folder}/names-{number}")
+    return names.select(F.col("node.node").alias("node"), F.col("root.node").alias("root"))

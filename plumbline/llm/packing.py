@@ -66,7 +66,7 @@ class Encoder:
         found, tokens, ends = {}, self.model.tokenize, self.ends
         odd = []
         for word in words:
-            bare, end = (word[:-1], ends[word[-1]]) if word[-1:] in ends and word else (word, b"")
+            bare, end = (word[:-1], ends[word[-1]]) if word[-1:] in ends and word[-2:-1].isalpha() else (word, b"")
             if bare in self.ids:
                 found[word] = self.ids[bare] + end
             elif bare.isalpha():

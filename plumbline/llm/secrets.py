@@ -93,7 +93,7 @@ def statistics(docs: DataFrame, text: str = "text") -> tuple[list[str], list[str
 
 def value_of(word: Column) -> Column:
     """The part of a word after the last assignment sign, without quotes and closing marks."""
-    bare = F.regexp_replace(word, r"^[\"'`(\[{<#*$%&]+|[\"'`)\]}>,;.#*$%&]+$", "")
+    bare = F.regexp_replace(word, r"^[\"'`(\[{<#*$%&!?]+|[\"'`)\]}>,;.#*$%&!?]+$", "")
     return F.regexp_replace(F.regexp_replace(bare, r"^[A-Za-z_.\-]{2,30}[=:](?=.{4})", ""), r"^[\"'`]+", "")
 
 
@@ -112,7 +112,7 @@ def features(found: DataFrame, dictionary: list[str], pairs: list[str]) -> DataF
     known = lambda items, table: F.filter(items, lambda x: x.isin(*table) if table else F.lit(False))
     covered = F.aggregate(known(parts, dictionary), F.lit(0), lambda a, x: a + F.length(x))
     near = F.concat_ws(" ", F.substring_index("before", " ", -2), F.regexp_extract("word", r"^[^=:]*[=:]", 0))
-    near = F.regexp_replace(near, "[#*$%&|]+", "")
+    near = F.regexp_replace(near, "[#*$%&|!?]+", "")
     has = lambda x, pattern: F.rlike(x, F.lit(f"(?i){pattern}")).cast("double")
     turns = count(r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
     return found.withColumn("value", value_of(F.col("word"))).withColumns({
@@ -162,6 +162,7 @@ def derived_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     made = [
         # label, word, the word right before
         (1, join(text_('"'), hex_(40, "a"), text_('"')), text_("token =")),
+        (1, join(text_('"'), F.upper(hex_(40, "A")), text_('"')), text_("TOKEN =")),
         (1, join(text_("password="), hex_(18, "b")), at(1)),
         (1, join(text_("api_key="), raw(32, "c")), at(2)),
         (1, join(text_("secret:"), raw(24, "d")), at(3)),

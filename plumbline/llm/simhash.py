@@ -21,7 +21,7 @@ SEED = 42
 #: A node of the index with more fingerprints than this is split by further masked bits.
 NODE_ROWS = 4096
 #: Bits by which one level of the distributed index narrows what the levels above left free; after the last, a node
-#: has at most 2 ** 12 fingerprints.
+#: has at most 2 ** 14 fingerprints.
 LEVELS = ((22, 21, 21), (14, 14, 14), (9, 9, 10), (6, 6, 6))
 FAN = 8
 ONES = np.uint64(0x0101010101010101)
