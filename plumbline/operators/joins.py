@@ -38,11 +38,18 @@ def proposal_match(batch: DataFrame, proposals: DataFrame, key: str) -> tuple[Da
 
 
 def strict_lookup_join(df: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Rows with the looked-up columns; the job fails on the first id that the lookup side lacks."""
+    """Rows with the looked-up columns; the job fails on the first id that the lookup side lacks.
+
+    The check sits in the key and in each looked-up column, so that it stays whichever of them is selected.
+    """
     looked = df.join(dim.select(key, *columns, F.lit(True).alias("_hit")), key, "left")
     message = F.concat(F.lit(f"no entry for {key} "), F.col(key).cast("string"))
-    checked = F.when(F.col("_hit"), F.col(key)).otherwise(F.raise_error(message).cast(dict(df.dtypes)[key]))
-    return looked.withColumn(key, checked).drop("_hit")
+    kinds = dict(looked.dtypes)
+
+    def checked(name: str) -> Column:
+        return F.when(F.col("_hit"), F.col(name)).otherwise(F.raise_error(message).cast(kinds[name]))
+
+    return looked.withColumns({name: checked(name) for name in [key, *columns]}).drop("_hit")
 
 
 def attach_narrative(preds: DataFrame, golden: DataFrame, key: str) -> DataFrame:

@@ -17,8 +17,24 @@ def _cell(truth: int, guess: int, y: str, pred: str) -> Column:
     return F.count_if((F.col(y) == truth) & (F.col(pred) == guess))
 
 
+def unscored_rows(df: DataFrame, y: str, pred: str) -> DataFrame:
+    """The rows that no cell counts: a label or prediction that is missing or not 0 or 1."""
+    known = F.coalesce(F.col(y).isin(0, 1) & F.col(pred).isin(0, 1), F.lit(False))
+    return df.filter(~known)
+
+
+def every_row_scored(df: DataFrame, y: str, pred: str) -> DataFrame:
+    """df, whose job fails on the first row that no cell would count."""
+    known = F.coalesce(F.col(y).isin(0, 1) & F.col(pred).isin(0, 1), F.lit(False))
+    fault = F.raise_error(F.concat_ws(" ", F.lit("unscored row: label"), F.col(y), F.lit("prediction"), F.col(pred)))
+    return df.withColumn(y, F.when(known, F.col(y)).otherwise(fault.cast(dict(df.dtypes)[y])))
+
+
 def confusion_matrix(df: DataFrame, y: str, pred: str, by: list[str] = []) -> DataFrame:
-    """The four cells and `[[tn, fp], [fn, tp]]`; empty cells are 0."""
+    """The four cells and `[[tn, fp], [fn, tp]]`; empty cells are 0.
+
+    Rows of `unscored_rows` are in no cell; pass `every_row_scored(df, ...)` to have them refused.
+    """
     cells = df.groupBy(*by).agg(
         _cell(0, 0, y, pred).alias("tn"),
         _cell(0, 1, y, pred).alias("fp"),

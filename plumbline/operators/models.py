@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -25,13 +26,11 @@ from plumbline.functions.numbers import flag_to_int, number_or_zero, rounded
 from plumbline.operators.features import english_stop_words, ngram_vocabulary, term_counts, vectorizer, with_terms
 from plumbline.operators.metrics import predict_majority, score_ranked
 from plumbline.operators.sampling import stratified_kfold
-from plumbline.storage import checkpointed
+from plumbline.storage import checkpointed, name_checkpoints
 
 Result = TypeVar("Result")
 
 # Training rows per partition. A fit is a long series of jobs over cached rows; many tiny parts only add scheduling.
-ROWS_PER_PART = 20_000  # text vectors
-ROWS_PER_TREE_PART = 100_000  # account features
 
 
 def for_each_fold(spark: SparkSession, k: int, fit: Callable[[int], Result]) -> list[Result]:
@@ -104,8 +103,7 @@ def fit_text_model(train: DataFrame, vocabulary: DataFrame, label: str, params:
     """Vectorizer and classifier of one training part; `train` has `terms`."""
     n_rows = train.count()
     transform, names = vectorizer(vocabulary, n_rows)
-    parts = max(1, -(-n_rows // ROWS_PER_PART))
-    vectors = transform.transform(train).select(label, "features").coalesce(parts).persist()
+    vectors = transform.transform(train).select(label, "features").persist()
     try:
         model = fit_balanced_lr(vectors, label, n_rows, params)
     finally:
@@ -250,9 +248,8 @@ class TreeParams:
 def fit_gbt_churn(df: DataFrame, label: str, params: TreeParams = TreeParams()) -> GBTClassificationModel:
     """Boosted trees with a positive row weighing as much as the negatives per positive."""
     counts = df.agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("rate")).first()
-    parts = max(1, -(-counts["n"] // ROWS_PER_TREE_PART))
     positive = F.lit((1 - counts["rate"]) / counts["rate"])
-    weighted = df.withColumn("weight", F.when(F.col(label) == 1, positive).otherwise(1.0)).coalesce(parts)
+    weighted = df.withColumn("weight", F.when(F.col(label) == 1, positive).otherwise(1.0))
     estimator = GBTClassifier(
         labelCol=label,
         weightCol="weight",
@@ -264,7 +261,9 @@ def fit_gbt_churn(df: DataFrame, label: str, params: TreeParams = TreeParams())
         maxBins=params.bins,
         seed=params.seed,
         checkpointInterval=10,
+        cacheNodeIds=True,
     )
+    name_checkpoints(df.sparkSession)  # else the lineage grows with the trees
     return estimator.fit(weighted)
 
 
@@ -321,7 +320,7 @@ def phrase_signal_classifier(df: DataFrame, text: str, phrases: tuple[str, ...])
 
     The phrases are a parameter and become one pattern, matched inside the scan.
     """
-    pattern = "(?:^|[^a-z])(" + "|".join(phrases) + ")(?:[^a-z]|$)"
+    pattern = r"(?:^|[^\p{L}\p{N}_])(" + "|".join(map(re.escape, phrases)) + r")(?:[^\p{L}\p{N}_]|$)"
     span = F.regexp_extract(F.lower(text), pattern, 1)
     marked = df.withColumn("evidence", span)
     return marked.withColumn("predicted_label", (F.col("evidence") != "").cast("int"))

@@ -48,7 +48,8 @@ def running_totals(
         earlier = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumns({f"_o_{m}": F.coalesce(F.sum(f"_t_{m}").over(earlier), F.lit(0)) for m in measures})
     if extra is not None:
-        offsets = offsets.join(extra, by)
+        # by the group's text, so that a group with a NULL keeps its rows
+        offsets = offsets.join(extra.withColumn("_g", _group_key(by)).drop(*by), "_g")
         carried = [c for c in extra.columns if c not in by]
     else:
         carried = []

@@ -20,18 +20,12 @@ from plumbline.operators.joins import anti_join_todo, in_vocabulary, paired_cond
 from plumbline.operators.sampling import batch_assign
 from plumbline.operators.usage import duration_stats, paired_delta_stats
 
-RUBRIC = (
-    "Mark a narrative with 1 only if the customer says outright that they closed or are closing the account, "
-    "changed or are changing provider, or firmly intend to leave because of the problem. Otherwise mark it with 0."
-)
-
-
-def single_prompt(narrative: Column, rubric: str = RUBRIC) -> Column:
+def single_prompt(narrative: Column, rubric: str) -> Column:
     """Prompt for one narrative."""
     return F.concat(F.lit(rubric), F.lit("\n\nNARRATIVE:\n"), narrative)
 
 
-def batch_prompts(df: DataFrame, batch: str, position: str, key: str, text: str, rubric: str = RUBRIC) -> DataFrame:
+def batch_prompts(df: DataFrame, batch: str, position: str, key: str, text: str, rubric: str) -> DataFrame:
     """One prompt per batch, its narratives in row order. Batches have a fixed small size."""
     blocks = F.transform(
         F.sort_array(F.collect_list(F.struct(position, key, text))),
@@ -44,7 +38,7 @@ def batch_prompts(df: DataFrame, batch: str, position: str, key: str, text: str,
     )
 
 
-def build_requests(df: DataFrame, done: DataFrame, key: str, text: str, size: int, rubric: str = RUBRIC) -> DataFrame:
+def build_requests(df: DataFrame, done: DataFrame, key: str, text: str, size: int, rubric: str) -> DataFrame:
     """Prompts for the rows that are not done, in consecutive batches."""
     todo = anti_join_todo(df.select(key, text), done, key)
     return batch_prompts(batch_assign(todo, key, size), "batch", "position", key, text, rubric)

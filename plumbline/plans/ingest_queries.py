@@ -24,7 +24,8 @@ GOLDEN_CSV = struct(complaint_id=LONG, product=TEXT, narrative=TEXT, churn_signa
 )
 def s1(v):
     path = run_folder(v.spark, "csv")
-    files.write_csv(v.complaints, path)
+    swapped = v.complaints.select("narrative", "n_chars", F.lit("x").alias("further"), "product", "source", "complaint_id")
+    files.write_csv(swapped, path)
     return files.csv_scan(v.spark, path, LABELLED_TEXT)
 
 
@@ -35,17 +36,17 @@ def s1(v):
 def s2(v):
     path = run_folder(v.spark, "csv-errors")
     shown = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
-    files.write_csv(v.read("events").select("event_id", shown.alias("value")), path)
-    kept, _ = files.csv_scan_skip_errors(v.spark, path, struct(event_id=LONG, value=DOUBLE))
+    files.write_csv(v.read("events").select(shown.alias("value"), "event_id"), path)
+    kept, _ = files.csv_scan_skip_errors(v.spark, path, struct(event_id=LONG, value=DOUBLE), multi_line=False)
     return kept
 
 
-@query("s2_rejected_lines", "SELECT concat(event_id, ',n/a') AS line FROM events WHERE event_type = 'error'")
+@query("s2_rejected_lines", "SELECT concat('n/a,', event_id) AS line FROM events WHERE event_type = 'error'")
 def s2_rejects(v):
     path = run_folder(v.spark, "csv-errors")
     shown = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
-    files.write_csv(v.read("events").select("event_id", shown.alias("value")), path)
-    _, rejects = files.csv_scan_skip_errors(v.spark, path, struct(event_id=LONG, value=DOUBLE))
+    files.write_csv(v.read("events").select(shown.alias("value"), "event_id"), path)
+    _, rejects = files.csv_scan_skip_errors(v.spark, path, struct(event_id=LONG, value=DOUBLE), multi_line=False)
     return rejects
 
 
@@ -60,7 +61,7 @@ def s3(v):
         part = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("date")).select("o_orderkey", "o_custkey")
         files.write_csv(part, f"{root}/orders_{name}.csv")
     newest = files.latest_snapshot(v.spark, root, "orders_")
-    return files.csv_scan(v.spark, newest, struct(o_orderkey=LONG, o_custkey=LONG))
+    return files.csv_scan(v.spark, newest, struct(o_orderkey=LONG, o_custkey=LONG), multi_line=False)
 
 
 @query("s4_replace_table", "SELECT c_custkey, c_mktsegment FROM customer")
@@ -198,9 +199,9 @@ def s14(v):
 
 
 SIGNALS = struct(complaint_id=LONG, evidence=TEXT, predicted_label=INT)
-_SIGNAL_SQL = f"""SELECT complaint_id,
-                      regexp_extract(lower(narrative), '(?:^|[^a-z])({"|".join(PHRASES)})(?:[^a-z]|$)', 1) AS evidence,
-                      CASE WHEN regexp_matches(lower(narrative), '(?:^|[^a-z])({"|".join(PHRASES)})(?:[^a-z]|$)')
+_SIGNAL_SQL = rf"""SELECT complaint_id,
+                      regexp_extract(lower(narrative), '(?:^|[^\p{{L}}\p{{N}}_])({"|".join(PHRASES)})(?:[^\p{{L}}\p{{N}}_]|$)', 1) AS evidence,
+                      CASE WHEN regexp_matches(lower(narrative), '(?:^|[^\p{{L}}\p{{N}}_])({"|".join(PHRASES)})(?:[^\p{{L}}\p{{N}}_]|$)')
                            THEN 1 ELSE 0 END AS predicted_label
                   FROM complaints"""
 

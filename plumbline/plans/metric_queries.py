@@ -332,10 +332,11 @@ def a8(v):
 
 @query(
     "a8_roc_auc_by_product",
-    sql("scored", _AUC.format(by="a.product,", on="AND a.product = b.product", group="GROUP BY a.product")),
+    sql("scored", f"""SELECT g.product, r.roc_auc FROM (SELECT DISTINCT product FROM scored) g LEFT JOIN
+        ({_AUC.format(by="a.product,", on="AND a.product = b.product", group="GROUP BY a.product")}) r USING (product)"""),
 )
 def a8_groups(v):
-    return six(metrics.roc_auc(v.scored, "y", "p", ["product"]).filter("roc_auc is not null"), "roc_auc")
+    return six(metrics.roc_auc(v.scored, "y", "p", ["product"]), "roc_auc")
 
 
 @query(

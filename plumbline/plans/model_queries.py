@@ -8,10 +8,11 @@ from plumbline.operators import features, metrics, models
 from plumbline.operators.sampling import stratified_split
 from plumbline.plans.registry import query
 from plumbline.plans.views import ACCOUNT_ROLES, K, PHRASES, sql
+from plumbline.storage import checkpointed
 from plumbline.session import spread
 
 STOP = ["the", "of", "and", "in", "to", "de", "la", "que", "die", "und"]
-TREES = models.TreeParams(trees=20)
+TREES = models.TreeParams()
 
 _TERMS = f"""SELECT complaint_id, list_concat(t, list_transform(range(1, length(t)), lambda i: t[i] || ' ' || t[i + 1])) AS grams
              FROM (SELECT complaint_id, list_filter(regexp_extract_all(lower(narrative), '[\\p{{{{L}}}}\\p{{{{N}}}}_]{{{{2,}}}}'),
@@ -102,7 +103,7 @@ def m5(v):
 
 
 def split_accounts(v):
-    rows = models.assemble(v.accounts, ACCOUNT_ROLES)
+    rows = checkpointed(models.assemble(v.accounts, ACCOUNT_ROLES))
     parts = stratified_split(rows, "customer_id", "churn", 0.2).select("customer_id", "part")
     both = rows.join(parts, "customer_id")
     return both.filter("part = 'train'").drop("part"), both.filter("part = 'test'").drop("part")
@@ -144,8 +145,8 @@ def m9(v):
     "m10_phrase_signal_classifier",
     sql(
         "complaints",
-        f"""SELECT complaint_id, regexp_extract(lower(narrative), '(?:^|[^a-z])({"|".join(PHRASES)})(?:[^a-z]|$)', 1) AS evidence,
-                CASE WHEN regexp_matches(lower(narrative), '(?:^|[^a-z])({"|".join(PHRASES)})(?:[^a-z]|$)') THEN 1 ELSE 0 END
+        rf"""SELECT complaint_id, regexp_extract(lower(narrative), '(?:^|[^\p{{L}}\p{{N}}_])({"|".join(PHRASES)})(?:[^\p{{L}}\p{{N}}_]|$)', 1) AS evidence,
+                CASE WHEN regexp_matches(lower(narrative), '(?:^|[^\p{{L}}\p{{N}}_])({"|".join(PHRASES)})(?:[^\p{{L}}\p{{N}}_]|$)') THEN 1 ELSE 0 END
                     AS predicted_label
             FROM complaints""",
     ),

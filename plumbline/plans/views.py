@@ -13,7 +13,7 @@ from plumbline.plans.registry import Tables
 
 K = 5
 PHRASES = ("que la", "nicht", "of the")
-FILLER = " This point is important and should be looked at with care before anything is decided."
+FILLER = " More words."
 CUTOFF = "2001-01-01"
 
 ACCOUNT_ROLES = AccountColumns(
@@ -85,7 +85,7 @@ class Views(Tables):
     @property
     def scored(self) -> DataFrame:
         """Labels with a score that has many ties."""
-        p = F.floor(F.least("n_chars", F.lit(4000)) / 40) / F.lit(100.0)
+        p = F.floor(F.col("n_chars") * 1000 / (F.col("n_chars") + 1000)) / F.lit(1000.0)
         rows = self.golden.select("complaint_id", "product", F.col("churn_signal").alias("y"), p.alias("p"))
         return rows.withColumn("predicted_label", (F.col("p") >= 0.5).cast("int"))
 
@@ -252,7 +252,7 @@ class Views(Tables):
         )
 
 
-_PATTERN = "(?:^|[^a-z])(" + "|".join(PHRASES) + ")(?:[^a-z]|$)"
+_PATTERN = r"(?:^|[^\p{L}\p{N}_])(" + "|".join(PHRASES) + r")(?:[^\p{L}\p{N}_]|$)"
 _DIGIT = "substr(md5(CAST({} AS VARCHAR)), 1, 1)"
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -318,8 +318,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "scored": (
         ("golden",),
-        """SELECT complaint_id, product, churn_signal AS y, (least(n_chars, 4000) // 40) / 100.0 :: DOUBLE AS p,
-               CASE WHEN (least(n_chars, 4000) // 40) / 100.0 :: DOUBLE >= 0.5 THEN 1 ELSE 0 END AS predicted_label
+        """SELECT complaint_id, product, churn_signal AS y, floor(n_chars * 1000 / (n_chars + 1000)) / 1000.0 :: DOUBLE AS p,
+               CASE WHEN floor(n_chars * 1000 / (n_chars + 1000)) / 1000.0 :: DOUBLE >= 0.5 THEN 1 ELSE 0 END AS predicted_label
            FROM golden""",
     ),
     "outputs": ((), "SELECT conv_id AS setting, turn AS repeat, text AS output FROM conversations"),

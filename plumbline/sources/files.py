@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 _REJECT = "_rejected"
 _CSV = {
     "header": "true",
-    "multiLine": "true",  # texts hold line breaks; such a file is one task, so land it as Parquet at once
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
@@ -17,20 +16,50 @@ _CSV = {
 }
 
 
-def csv_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV file or folder with a header, read under an explicit schema; an empty field is NULL."""
-    return spark.read.options(**_CSV).schema(schema).csv(path)
+def _header(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> tuple[dict[str, str], T.StructType]:
+    """Reader options and the file's columns, all as text, in the file's order; an error if the schema has others."""
+    options = {**_CSV, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
+    names = spark.read.options(**options).csv(path).columns  # reads the first line
+    missing = [n for n in schema.fieldNames() if n not in names]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return options, T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def csv_scan_skip_errors(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def csv_scan(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """A CSV file or folder with a header, under an explicit schema; an empty field is NULL.
+
+    Columns are found by their names in the header, whatever their order; further ones are left out. A missing column is
+    an error at once, a row with the wrong number of fields or a value that is not of its type when it is read. With
+    `multi_line` texts may hold line breaks, and a file is one task; so land it as Parquet at once.
+    """
+    options, as_text = _header(spark, path, schema, multi_line)
+    rows = spark.read.options(**options, mode="FAILFAST").schema(as_text).csv(path)
+    message = lambda f: F.concat(F.lit(f"{f.name} holds "), F.col(f"`{f.name}`"))
+
+    def typed(f: T.StructField):
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            return value
+        cast = value.try_cast(f.dataType)
+        fault = F.raise_error(message(f)).cast(f.dataType)
+        return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(fault).alias(f.name)
+
+    return rows.select(*(typed(f) for f in schema.fields))
+
+
+def csv_scan_skip_errors(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """Readable rows, and the text of the others instead of losing them silently.
 
-    A row is bad if it has the wrong number of fields or a field that is not of its column's type. Fields are read
+    Columns are found by their names, as in `csv_scan`. A row is bad if it has the wrong number of fields or a field that is not of its column's type. Fields are read
     as text and cast here, so that every field is judged, whichever columns are selected later.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    options, as_text = _header(spark, path, schema, multi_line)
+    everything = as_text.fieldNames()
     marked = as_text.add(_REJECT, T.StringType())
-    options = {**_CSV, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT}
+    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT, "enforceSchema": "true"}
     rows = spark.read.options(**options).schema(marked).csv(path)
     names = schema.fieldNames()
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
@@ -38,12 +67,12 @@ def csv_scan_skip_errors(spark: SparkSession, path: str, schema: T.StructType) -
     for name in names:
         bad = bad | (F.col(name).isNotNull() & typed[name].isNull())
     kept = rows.filter(~bad).select(*(typed[name].alias(name) for name in names))
-    line = F.coalesce(F.col(_REJECT), F.to_csv(F.struct(*names)))
+    line = F.coalesce(F.col(_REJECT), F.to_csv(F.struct(*everything)))
     return kept, rows.filter(bad).select(line.alias("line"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(**{k: v for k, v in _CSV.items() if k != "multiLine"}).mode("overwrite").csv(path)
+    df.write.options(**_CSV).mode("overwrite").csv(path)
 
 
 def latest_snapshot(spark: SparkSession, root: str, prefix: str) -> str:
@@ -52,7 +81,7 @@ def latest_snapshot(spark: SparkSession, root: str, prefix: str) -> str:
     Only file names are read. One text comes to the driver.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    found = F.regexp_extract("path", rf"^(.*/{prefix}[^/]*)", 1)
+    found = F.regexp_extract("path", rf"^(.*/\Q{prefix}\E[^/]*)", 1)
     name = F.regexp_extract(found, r"([^/]*)$", 1)
     last = listing.filter(found != "").agg(F.max(F.struct(name.alias("name"), found.alias("path")))["path"]).first()[0]
     if last is None:
@@ -102,7 +131,13 @@ def project_rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def explode_keyed_json(df: DataFrame, document: str, value_ddl: str, key: str, value: str) -> DataFrame:
-    """Rows of JSON documents that map ids to values, the id as an integer."""
-    entries = F.from_json(F.col(document), f"map<string,{value_ddl}>")
+    """Rows of JSON documents that map ids to values, the id as an integer; a document that is not such a map is an error.
+
+    Read a document that spans lines with `wholetext`.
+    """
+    read = F.from_json(F.col(document), f"map<string,{value_ddl}>")
+    message = F.concat(F.lit("not a map of ids: "), F.substring(F.col(document), 1, 80))
+    failed = F.raise_error(message).cast(f"map<string,{value_ddl}>")
+    entries = F.when(F.col(document).isNull() | read.isNotNull(), read).otherwise(failed)
     rows = df.select(F.explode(entries).alias("_k", value))
     return rows.select(F.col("_k").cast("bigint").alias(key), value)

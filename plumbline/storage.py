@@ -29,10 +29,14 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a reliable checkpoint that survives the loss of executors."""
-    spark = df.sparkSession
+def name_checkpoints(spark: SparkSession) -> None:
+    """Name the folder of reliable checkpoints unless the session has one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{shared_root(spark)}/checkpoints")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage through a reliable checkpoint that survives the loss of executors."""
+    name_checkpoints(df.sparkSession)
     return df.checkpoint()

@@ -66,3 +66,42 @@ def test_seeds_give_other_samples(spark):
     df = spark.range(1000)
     one, again, other = ({r[0] for r in sampling.seeded_sample(df, "id", 30, s).collect()} for s in (42, 42, 7))
     assert one == again != other
+
+
+def test_rows_without_a_label_are_split_too(spark):
+    from plumbline.operators.sampling import stratified_split
+
+    df = spark.range(40).selectExpr("id", "CASE WHEN id % 5 < 4 THEN CAST(id % 2 AS INT) END AS y")
+    assert stratified_split(df, "id", "y", 0.25).count() == 40
+
+
+def test_strict_lookup_fails_whatever_is_selected(spark):
+    import pytest
+
+    from plumbline.operators.joins import strict_lookup_join
+
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    right = spark.createDataFrame([(1, 0)], "id long, fold int")
+    joined = strict_lookup_join(left, right, "id", ["fold"])
+    for df in (joined.select("v", "fold"), joined.groupBy("fold").count(), joined):
+        with pytest.raises(Exception, match="no entry for id 2"):
+            df.collect()
+
+
+def test_phrases_are_whole_words_and_plain_text(spark):
+    from plumbline.operators.models import phrase_signal_classifier
+
+    df = spark.createDataFrame([("axb",), ("so a.b it",), ("\u00fcnicht",), ("nicht!",), ("nicht_",)], "t string")
+    found = {r["t"]: r["predicted_label"] for r in phrase_signal_classifier(df, "t", ("a.b", "nicht")).collect()}
+    assert found == {"axb": 0, "so a.b it": 1, "\u00fcnicht": 0, "nicht!": 1, "nicht_": 0}
+
+
+def test_unscored_rows_are_shown_or_refused(spark):
+    import pytest
+
+    from plumbline.operators import metrics
+
+    df = spark.createDataFrame([(1, 1), (0, 0), (1, None), (0, 2)], "y int, p int")
+    assert metrics.unscored_rows(df, "y", "p").count() == 2
+    with pytest.raises(Exception, match="unscored row"):
+        metrics.confusion_matrix(metrics.every_row_scored(df, "y", "p"), "y", "p").collect()

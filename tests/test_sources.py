@@ -121,3 +121,28 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
     assert storage.shared_root(Fake("hdfs://shared/checkpoints/")) == "hdfs://shared/checkpoints"
     with pytest.raises(RuntimeError):
         storage.shared_root(Fake(None))
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("v,extra,id\n2.5,x,1\n,y,2\n")
+    rows = files.csv_scan(spark, str(tmp_path / "t.csv"), struct(id=LONG, v=DOUBLE)).collect()
+    assert [tuple(r) for r in rows] == [(1, 2.5), (2, None)]
+    kept, rejects = files.csv_scan_skip_errors(spark, str(tmp_path / "t.csv"), struct(id=LONG, v=DOUBLE), multi_line=False)
+    assert [tuple(r) for r in kept.collect()] == [(1, 2.5), (2, None)] and rejects.count() == 0
+
+
+def test_csv_faults_are_errors(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,v\n1,2.5\n2,x\n")
+    (tmp_path / "short.csv").write_text("id,v\n1\n")
+    with pytest.raises(ValueError, match="missing columns: w"):
+        files.csv_scan(spark, str(tmp_path / "t.csv"), struct(id=LONG, w=DOUBLE))
+    for name in ("t.csv", "short.csv"):
+        with pytest.raises(Exception):
+            files.csv_scan(spark, str(tmp_path / name), struct(id=LONG, v=DOUBLE)).collect()
+
+
+def test_keyed_json_over_lines_and_unreadable_documents(spark):
+    docs = spark.createDataFrame([('{"1": 5,\n "2": 6}',), (None,)], "d string")
+    assert sorted(map(tuple, files.explode_keyed_json(docs, "d", "int", "id", "n").collect())) == [(1, 5), (2, 6)]
+    with pytest.raises(Exception, match="not a map of ids"):
+        files.explode_keyed_json(spark.createDataFrame([("{1",)], "d string"), "d", "int", "id", "n").collect()
