@@ -113,10 +113,13 @@ def repeated_runs(chunks: DataFrame) -> DataFrame:
 TODO = "_todo"
 
 
-def _with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """docs with all its columns and, last, the list of its id."""
+def _with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """docs with all its columns and, last, the list of its id or null.
+
+    Both uses shuffle the documents in the same way, so that Spark shuffles the texts once and reads them twice.
+    """
     listed = lists.withColumnRenamed("doc_id", "_listed")
-    return docs.join(listed, docs["doc_id"] == listed["_listed"], how).select(*(docs[c] for c in docs.columns), TODO)
+    return docs.join(listed, docs["doc_id"] == listed["_listed"], "left").select(*(docs[c] for c in docs.columns), TODO)
 
 
 def first_texts(docs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -130,13 +133,13 @@ def first_texts(docs: DataFrame, runs: DataFrame) -> DataFrame:
         for batch in batches:
             hashes, bodies = [], []
             for t, todo in zip(batch.column(text).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                lines = lines_of(t or "")
-                for c in todo:
+                lines = lines_of(t or "") if todo else []
+                for c in todo or []:
                     hashes.append(c["hash"])
                     bodies.append(chunk_bytes(lines, c["at"], c["lines"]))
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(bodies, pa.binary())], ["hash", "body"])
 
-    found = _with_lists(docs, wanted, "inner").mapInArrow(run, "hash bigint, body binary")
+    found = _with_lists(docs, wanted).mapInArrow(run, "hash bigint, body binary")
     return found.groupBy("hash").agg(F.min("body").alias("body"))
 
 
@@ -160,7 +163,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     runs = spark.read.parquet(f"{folder}/runs.parquet")
     bodies = first_texts(source, runs)
     lists = runs.join(bodies, "hash").groupBy("doc_id").agg(F.collect_list(F.struct("at", "lines", "body")).alias(TODO))
-    joined = _with_lists(source, lists, "left")
+    joined = _with_lists(source, lists)
     names = source.columns
     at_text = names.index("text")
 
