@@ -261,7 +261,6 @@ def fit_gbt_churn(df: DataFrame, label: str, params: TreeParams = TreeParams())
         maxBins=params.bins,
         seed=params.seed,
         checkpointInterval=10,
-        cacheNodeIds=True,
     )
     name_checkpoints(df.sparkSession)  # else the lineage grows with the trees
     return estimator.fit(weighted)
