@@ -8,11 +8,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.llm.quality_rules import COUNTS, measures, text_counts
+from plumbline.llm.sampling import smallest_hashes
 from plumbline.storage import checkpointed
 
 #: Bounds of what is fitted on: labelled and unlabelled documents.
@@ -170,16 +171,12 @@ def co_train(
 # ---- operator ----
 
 
-def _place(salt: str) -> Column:
-    return F.xxhash64(F.lit(salt), "doc_id")
-
-
 def sample(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> DataFrame:
     """docs of at most so many labelled and unlabelled ids, by hash, with `_y` (null: unlabelled) and without texts of others."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("_y"))
-    some = known.orderBy(_place("known"), "doc_id").limit(labelled)
+    some = smallest_hashes(known, "known", "doc_id", labelled, known.count())
     rest = docs.select("doc_id").where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti").distinct()
-    pool = rest.orderBy(_place("pool"), "doc_id").limit(unlabelled).withColumn("_y", F.lit(None).cast("int"))
+    pool = smallest_hashes(rest, "pool", "doc_id", unlabelled, rest.count()).withColumn("_y", F.lit(None).cast("int"))
     ids = some.unionByName(pool).withColumnRenamed("doc_id", "_id")
     return docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).drop("_id")
 

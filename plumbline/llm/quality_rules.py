@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.llm.sampling import smallest_hashes
 from plumbline.storage import checkpointed
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -213,7 +214,7 @@ def fit_trees(
 def labelled_counts(stats: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS):
     """Measures and labels of at most `sample_docs` labelled documents, by hash of the id."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("y"))
-    chosen = known.orderBy(F.xxhash64(F.lit("rules"), "doc_id"), "doc_id").limit(sample_docs)
+    chosen = smallest_hashes(known, "rules", "doc_id", sample_docs, known.count())
     rows = stats.join(F.broadcast(chosen), "doc_id").orderBy("doc_id").select("y", *COUNTS).collect()
     table = np.array(rows, np.int64).reshape(-1, len(COUNTS) + 1)
     return measures(dict(zip(COUNTS, table[:, 1:].T))), table[:, 0]

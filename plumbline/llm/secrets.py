@@ -9,6 +9,7 @@ from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.llm.sampling import smallest_hashes
 from plumbline.storage import checkpointed
 
 #: Shapes of a candidate word: a run of key characters with a digit, or the start of a known kind of key.
@@ -148,9 +149,8 @@ def derived_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     the texts. At most `rows` findings, from documents by hash of the id.
     """
     words = F.split(F.trim(F.coalesce(F.col(text), F.lit(""))), r"\s+")
-    some = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("t")).select(
-        "id", F.slice(F.split(F.trim(F.coalesce("t", F.lit(""))), r"\s+"), 1, 8).alias("w")
-    ).dropDuplicates(["id"]).orderBy(F.xxhash64(F.lit("findings"), "id"), "id").limit(-(-rows // 20))
+    known = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("string").alias("id"), F.slice(words, 1, 8).alias("w"))
+    some = smallest_hashes(known.dropDuplicates(["id"]), "findings", "id", -(-rows // 20), known.count())
     at = lambda i: F.coalesce(F.get("w", F.lit(i)), F.lit("of"))
     hex_ = lambda n, salt: F.substr(F.sha2(F.concat(F.lit(salt), F.col("id")), 512), F.lit(1), F.lit(n))
     raw = lambda n, salt: F.substr(

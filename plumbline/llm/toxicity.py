@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.llm.sampling import smallest_hashes
 from plumbline.storage import checkpointed
 
 #: The kernel compares gapped subsequences of three characters; each skipped character costs this factor.
@@ -266,8 +267,7 @@ def labelled_sample(labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    placed = known.withColumn("place", F.xxhash64(F.lit("sample"), "doc_id"))
-    one = lambda k: placed.where(F.col("toxic") == k).orderBy("place", "doc_id").limit(sample_docs)
+    one = lambda k: smallest_hashes(known.where(F.col("toxic") == k), "sample", "doc_id", sample_docs, counts.get(k, 0))
     part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(4))
     return one(1).union(one(0)).select("doc_id", "toxic", part.alias("part")), counts
 
