@@ -13,11 +13,21 @@ from pyspark.sql import functions as F
 
 from plumbline.schemas import EXTRACTION_KEYS, URGENCY_LEVELS
 
-# The first '[' up to its matching ']', for an array of flat objects; brackets inside strings do not count.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+NESTING = 3  # arrays inside the objects of an array, at most so deep
+
+
+def _array(depth: int) -> str:
+    inner = "" if depth == 0 else "|" + _array(depth - 1)
+    return rf'\[(?:[^\[\]"]++|{_STRING}{inner})*+\]'
+
+
+# The first '[' up to its matching ']'; brackets inside strings do not count.
 # Possessive repeats keep the match linear in the length of the reply.
-_ARRAY_PATTERN = r'(?s)^[^\[]*+(\[(?:[^\[\]"]++|"(?:[^"\\]++|\\.)*+")*+\])'
+_ARRAY_PATTERN = rf"(?s)^[^\[]*+({_array(NESTING)})"
 
-PROPOSAL_DDL = "array<struct<id:bigint,label:int,evidence:string,confidence:string>>"
+# Ids and labels are read as text, so that "1", 1.0 and true are understood like 1.
+PROPOSAL_DDL = "array<struct<id:string,label:string,evidence:string,confidence:string>>"
 
 
 def parsed(reply: Column) -> Column:
@@ -81,9 +91,14 @@ def payload_array(reply: Column) -> Column:
 
 def proposals_in(reply: Column) -> Column:
     """Typed proposal objects of a batch reply, NULL if the reply holds no readable array."""
-    return F.from_json(F.nullif(payload_array(reply), F.lit("")), PROPOSAL_DDL, {"mode": "PERMISSIVE"})
+    found = F.from_json(F.nullif(payload_array(reply), F.lit("")), PROPOSAL_DDL, {"mode": "PERMISSIVE"})
+    return F.transform(found, lambda p: F.struct(
+        whole_number(p["id"]).alias("id"), whole_number(p["label"]).cast("int").alias("label"),
+        p["evidence"].alias("evidence"), p["confidence"].alias("confidence"),
+    ))
 
 
-def keyed_entries(document: Column, value_ddl: str) -> Column:
-    """Entries of a JSON document that maps ids to values."""
-    return F.from_json(document, f"map<string,{value_ddl}>")
+def whole_number(value: Column) -> Column:
+    """A number, a number in quotes or a truth value as a long; NULL for anything else."""
+    truth = F.when(value == "true", F.lit(1)).when(value == "false", F.lit(0)).cast("bigint")
+    return F.coalesce(value.try_cast("bigint"), truth, value.try_cast("double").try_cast("bigint"))

@@ -158,3 +158,12 @@ def test_cost_multiple_is_zero_without_a_divisor(spark):
     none = spark.createDataFrame([(0.0,)], "rows_per_s double")
     assert usage.cost_multiple(fast, slow).first()["multiple"] == 14843.8
     assert usage.cost_multiple(fast, none).first()["multiple"] == 0.0
+
+
+def test_proposals_with_loose_numbers_and_nested_evidence(spark):
+    from plumbline.operators.responses import explode_proposals
+
+    reply = 'Here: [{"id": 1, "label": "1"}, {"id": "2", "label": 1.0, "evidence": ["a", "[b"]}, {"id": 3, "label": true}, {"id": 4, "label": "x"}] end'
+    rows, rejects = explode_proposals(spark.createDataFrame([(reply,)], "r string"), "r", [])
+    assert [(r["id"], r["label"]) for r in rows.orderBy("position").collect()] == [(1, 1), (2, 1), (3, 1), (4, None)]
+    assert rejects.count() == 0
