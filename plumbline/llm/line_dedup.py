@@ -11,23 +11,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import window as W
-
-from plumbline.storage import run_folder
-
-#: A line is a text line or a sentence of it; a line with fewer words never ends a chunk.
-LINE_WORDS = 4
-#: Of 256 values of the rolling hash, so many end a chunk.
-ENDS = 192
-#: Lines that the rolling hash sees, and lines of a chunk at most.
-ROLL = 2
-CHUNK_LINES = 16
-#: A run of repeated chunks goes if it has so many words and several lines, or so many words in one line.
+
+from plumbline.storage import checkpointed, run_folder
+
+#: A passage goes if it has so many words and several lines, or so many words in one line.
 RUN_WORDS = 20
 LINE_ALONE_WORDS = 50
 
 _END = re.compile(r"[.!?] +|\n")
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+_MULTIPLIER = 0x9E3779B97F4A7C15
+_INVERSE = pow(_MULTIPLIER, -1, 2**64)
 
 
 def lines_of(text: str) -> list[str]:
@@ -41,32 +34,50 @@ def lines_of(text: str) -> list[str]:
     return out
 
 
-def chunks_of(lines: list[str]) -> list[tuple[int, int, int, int]]:
-    """(hash, first line, lines, words) of each chunk.
+def full_lines(text: str) -> list[str]:
+    """The lines that are not white space; places are counted in them."""
+    return [x for x in lines_of(text) if not x.isspace()]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0, base ** 1, ... modulo 2 ** 64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
-    A chunk ends where the rolling hash over the last `ROLL` line hashes says so, which depends on these lines alone; so
-    inside a passage the chunks are the same whatever stands before it.
+
+def chunks_of_all(texts: list[list[str]]) -> tuple[np.ndarray, ...]:
+    """(text, hash, first line, lines) of the chunks of several texts, given as their full lines.
+
+    Chunks are the shortest runs of several lines with `RUN_WORDS` words, one from each line on and one up to each line,
+    and the lines with `LINE_ALONE_WORDS` words. So they depend on their own lines alone; a passage that is large enough
+    has one at its first line and one at its last, and its chunks cover all of it, whatever stands around it.
     """
-    if not lines:
-        return []
-    bare = [x.strip() for x in lines]
-    hashes = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in bare], np.uint64)
-    words = np.array([len(x.split()) for x in bare])
-    rolled = hashes.copy()
-    for back in range(1, ROLL):
-        rolled[back:] += hashes[:-back] * _MULTIPLIER ** np.uint64(back)
-    ends = ((rolled * _MULTIPLIER) >> np.uint64(56)) < ENDS
-    ends &= words >= LINE_WORDS
-    ends[-1] = True
-    out, start = [], 0
-    for end in (np.flatnonzero(ends) + 1).tolist():
-        for low in range(start, end, CHUNK_LINES):
-            high = min(end, low + CHUNK_LINES)
-            n = int(words[low:high].sum())
-            if n:
-                out.append((xxhash.xxh64_intdigest(hashes[low:high].tobytes()) >> 1, low, high - low, n))
-        start = end
-    return out
+    sizes = np.array([len(x) for x in texts], np.int64)
+    n = int(sizes.sum())
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    low, high = starts[owner], (starts + sizes)[owner]
+    bare = [x.strip() for lines in texts for x in lines]
+    hashes = np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in bare), np.uint64, n)
+    words = np.fromiter((len(x.split()) for x in bare), np.int64, n)
+    total = np.concatenate([[0], np.cumsum(words)])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_MULTIPLIER, n), dtype=np.uint64)])
+    at = np.arange(n)
+    ahead = np.maximum(np.searchsorted(total, total[:-1] + RUN_WORDS), at + 2)
+    back = np.minimum(np.searchsorted(total, total[1:] - RUN_WORDS, "right") - 1, at - 1)
+    fits, backs, alone = ahead <= high, back >= low, words >= LINE_ALONE_WORDS
+    backs[backs] &= ahead[back[backs]] != at[backs] + 1  # else the same chunk
+    first = np.concatenate([at[fits], back[backs], at[alone]])
+    end = np.concatenate([ahead[fits], at[backs] + 1, at[alone] + 1])
+    mixed = (sums[end] - sums[first]) * _powers(_INVERSE, n + 1)[first]
+    return owner[first], mixed.view(np.int64), first - low[first], end - first
+
+
+def chunks_of(lines: list[str]) -> list[tuple[int, int, int]]:
+    """(hash, first line, lines) of each chunk of one text."""
+    _, *found = chunks_of_all([lines])
+    return list(zip(*(x.tolist() for x in found)))
 
 
 def chunk_bytes(lines: list[str], at: int, n: int) -> bytes:
@@ -74,42 +85,71 @@ def chunk_bytes(lines: list[str], at: int, n: int) -> bytes:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, hash, at, lines, words) of every chunk of every text; docs has doc_id and text."""
+    """(doc_id, hash, at, lines) of every chunk of every text; docs has doc_id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                found = [chunks_of(lines_of(t or "")) for t in part.column(1).to_pylist()]
-                rows = np.array([c for f in found for c in f], np.int64).reshape(-1, 4)
-                owner = part.column(0).take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found])))
+                owner, hashes, at, lines = chunks_of_all([full_lines(t or "") for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [owner, pa.array(rows[:, 0]), *(pa.array(rows[:, i].astype(np.int32)) for i in (1, 2, 3))],
-                    ["doc_id", "hash", "at", "lines", "words"],
+                    [part.column(0).take(pa.array(owner)), pa.array(hashes), *(pa.array(x.astype(np.int32)) for x in (at, lines))],
+                    ["doc_id", "hash", "at", "lines"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    return found.mapInArrow(run, f"doc_id {kind}, hash bigint, at int, lines int, words int")
+    return found.mapInArrow(run, f"doc_id {kind}, hash bigint, at int, lines int")
+
+
+def covering(chunks: list[tuple[int, int]]) -> list[int]:
+    """Numbers of few chunks (first line, lines) that cover the same lines as all of them."""
+    order = sorted(range(len(chunks)), key=chunks.__getitem__)
+    out, covered, i = [], 0, 0
+    while i < len(order):
+        reach = max(covered, chunks[order[i]][0])
+        best = -1
+        while i < len(order) and chunks[order[i]][0] <= reach:
+            if (end := sum(chunks[order[i]])) > covered:
+                best, covered = order[i], end
+            i += 1
+        if best >= 0:
+            out.append(best)
+    return out
 
 
 def repeated_runs(chunks: DataFrame) -> DataFrame:
-    """(doc_id, at, lines, hash, first) of the chunks to remove, by hash.
+    """(doc_id, at, lines, hash, first) of chunks that cover what is to be removed, by hash.
 
-    The first place of a chunk is the smallest (doc_id, at), and it stays. Chunks that follow each other in a document
-    and stand elsewhere before make a run; short runs stay.
+    The first place of a chunk is the smallest (doc_id, at), and it stays; so does a chunk that overlaps it.
     """
     first = chunks.groupBy("hash").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
-    again = chunks.join(first.where("n > 1").drop("n"), "hash").where("struct(doc_id, at) <> first")
-    by_doc = W.Window.partitionBy("doc_id").orderBy("at")
-    before = F.coalesce(F.sum("lines").over(by_doc.rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))
-    runs = again.distinct().withColumn("run", F.col("at") - before)
-    whole = W.Window.partitionBy("doc_id", "run")
-    sized = runs.withColumn("all_words", F.sum("words").over(whole)).withColumn("all_lines", F.sum("lines").over(whole))
-    large = (F.col("all_words") >= LINE_ALONE_WORDS) | ((F.col("all_words") >= RUN_WORDS) & (F.col("all_lines") > 1))
-    return sized.where(large).select("doc_id", "at", "lines", "hash", "first")
-
+    first = checkpointed(first.where("n > 1").drop("n"))  # so that Spark can split a frequent hash in the join
+    again = chunks.join(first, "hash").where(
+        "struct(doc_id, at) <> first AND (doc_id <> first.doc_id OR at >= first.at + lines)"
+    )
+    listed = again.groupBy("doc_id").agg(F.collect_set(F.struct("at", "lines", "hash", "first")).alias("again"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat = lists.flatten()
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            at, lines = flat.field("at").to_pylist(), flat.field("lines").to_pylist()
+            owner, kept = [], []
+            for row, (low, high) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+                some = covering(list(zip(at[low:high], lines[low:high])))
+                owner += [row] * len(some)
+                kept += [low + i for i in some]
+            rows = flat.take(pa.array(kept, pa.int64()))
+            ids = batch.column(0).take(pa.array(owner, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *(rows.field(k) for k in RUN_COLUMNS)], ["doc_id", *RUN_COLUMNS])
+
+    kind = chunks.schema["doc_id"].dataType.simpleString()
+    return listed.mapInArrow(run, f"doc_id {kind}, at int, lines int, hash bigint, first struct<doc_id: {kind}, at: int>")
+
+
+RUN_COLUMNS = ["at", "lines", "hash", "first"]
 TODO = "_todo"
 
 
@@ -133,7 +173,7 @@ def first_texts(docs: DataFrame, runs: DataFrame) -> DataFrame:
         for batch in batches:
             hashes, bodies = [], []
             for t, todo in zip(batch.column(text).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                lines = lines_of(t or "") if todo else []
+                lines = full_lines(t or "") if todo else []
                 for c in todo or []:
                     hashes.append(c["hash"])
                     bodies.append(chunk_bytes(lines, c["at"], c["lines"]))
@@ -146,12 +186,28 @@ def first_texts(docs: DataFrame, runs: DataFrame) -> DataFrame:
 REMOVED = "removed_words"
 
 
+def without(text: str, gone: set[int]) -> str:
+    """The text without the full lines of these numbers and without the white space lines between them; empty if all go."""
+    out, held, place, last = [], [], 0, True
+    for x in lines_of(text):
+        if x.isspace():
+            held.append(x)
+            continue
+        if not (last and place in gone):
+            out += held
+        held.clear()
+        if not (last := place in gone):
+            out.append(x)
+        place += 1
+    return "".join([*out, *held]) if len(gone) < place else ""
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with all their columns, their texts without repeated passages, and `removed_words`.
 
-    Passages are runs of chunks that stand in an earlier document, or earlier in the same one, byte for byte, except for
-    white space around lines: at least 20 words in several lines, or 50 in one. The first place (smallest id, then
-    position) keeps the passage. A text that is repeated whole becomes empty; no row goes. Null and empty texts stay as
+    Passages are runs of lines that stand in an earlier document, or earlier in the same one, byte for byte, except for
+    white space around lines and lines of it: at least 20 words in several lines, or 50 in one. All of them are found.
+    The first place (smallest id, then position) keeps the passage. A text that is repeated whole becomes empty; no row goes. Null and empty texts stay as
     they are; rows with a null id are not searched. Rows with one id count as one document. A column named
     `removed_words` is replaced. An empty table gives no rows.
     """
@@ -173,12 +229,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             for t, todo in zip(batch.column(at_text).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 gone: set[int] = set()
                 if todo and t:
-                    lines = lines_of(t)
+                    lines = full_lines(t)
                     for c in todo:
                         if chunk_bytes(lines, c["at"], c["lines"]) == c["body"]:
                             gone.update(range(c["at"], c["at"] + c["lines"]))
                     counts.append(sum(len(lines[i].split()) for i in gone))
-                    texts.append("".join(x for i, x in enumerate(lines) if i not in gone))
+                    texts.append(without(t, gone) if gone else t)
                 else:
                     counts.append(0)
                     texts.append(t)
