@@ -26,6 +26,17 @@ KINDS = {
 NAMED = r"token|passw|passwd|pwd|secret|api_?key|apikey|access_?key|auth|bearer|credential|private"
 OTHER = r"commit|revision|checksum|sha\d*|md5|digest|uuid|guid|etag|version|build|example|sample|dummy|placeholder|https?:|www\."
 PATHS = r"(?i)test|example|sample|mock|fixture|docs?/"
+SHAPED = f"^(?=.*[0-9])(?=.*[A-Za-z]).*{RUN}|^.*(?i:{NAMED})[^=:]*[=:].{{4,}}|{'|'.join(KINDS.values())}"
+#: The end of the words before a value that a name is given to.
+GIVEN = rf"(?i:{NAMED})[^=:\s]*\s?[=:]+>?$"
+#: Where one word is cut in pieces: before a further name with a sign, between quoted values, before a known kind of key
+#: and between long runs of key characters.
+CUT = "|".join([
+    r"""["'`]?[,;&?|{}\[\]()<>#]+(?=["'`]?[A-Za-z_][A-Za-z0-9_.\-]{0,40}["'`]?[=:])""",
+    r"""(?<=["'`])[\]}]*,[\[{]*(?=["'`])""",
+    rf"[,;&?|]+(?=[\"'`]?(?:{'|'.join(KINDS.values())}))",
+    r"(?<=[A-Za-z0-9_+/=.\-]{16})[,;|]+(?=[A-Za-z0-9_+/=.\-]{16})",
+])
 #: Words of the corpus that count as its dictionary, and letter pairs that count as common.
 DICTIONARY, PAIRS = 4000, 250
 #: Labelled findings that the forest is fitted on, at most.
@@ -43,31 +54,64 @@ FEATURES = [
 # ---- candidates ----
 
 
+def pieces(rows: DataFrame) -> DataFrame:
+    """`rows` (word, before and others) with a row for each candidate piece of the word, in place of the word.
+
+    A further piece has the words before it only through the name that its value belongs to. A word that only as a whole
+    has the shape of a candidate, or only its place, stays whole.
+    """
+    cut = F.filter(F.split("word", CUT), lambda x: x != "")
+    name = F.regexp_extract(F.array_join(F.slice("_cut", F.lit(1), F.col("_p.i")), " "), r"""([A-Za-z0-9_.\-]+)["'`]?[=:][^=:]*$""", 1)
+    own = F.rlike("_p.piece", F.lit(r"""^["'`]?[A-Za-z0-9_.\-]+["'`]?[=:]"""))
+    shaped = F.filter(
+        F.transform("_cut", lambda x, i: F.struct(i.alias("i"), x.alias("piece"))),
+        lambda c: (F.length(c["piece"]) >= 8) & F.rlike(c["piece"], F.lit(SHAPED)),
+    )
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.col("word").alias("piece")))
+    cut_rows = rows.withColumn("_cut", cut).withColumn("_p", shaped)
+    cut_rows = cut_rows.withColumn("_p", F.explode(F.when(F.size("_p") > 0, F.col("_p")).otherwise(whole)))
+    before = F.when(F.col("_p.i") == 0, F.col("before")).when(own | (name == ""), "").otherwise(F.concat(name, F.lit(" =")))
+    return cut_rows.withColumns({"before": before, "word": F.col("_p.piece")}).drop("_cut", "_p")
+
+
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """(doc_id, position, word, before, after, path): words that could hold a secret, with up to three words on either side.
+    """(doc_id, position, word, before, after, path): what could hold a secret, with up to three words on either side.
 
-    `position` is the word's number in the text, from 0.
+    `position` is the number of the white-space word in the text, from 0; a word with several assigned values or keys gives
+    a row for each, with its piece as `word`. A word of four characters or more right behind a secret's name and a sign
+    is a candidate whatever its shape.
     """
     words = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.split(F.trim(F.coalesce(F.col(text), F.lit(""))), r"\s+").alias("words"),
         F.coalesce(F.col(path).cast("string") if path else F.lit(None).cast("string"), F.lit("")).alias("path"),
+        F.coalesce(F.rlike(F.col(text), F.lit(r"[=:>]\s")), F.lit(False)).alias("signs"),
     )
-    shaped = f"^(?=.*[0-9])(?=.*[A-Za-z]).*{RUN}|^.*(?i:{NAMED})[^=:]*[=:].{{4,}}|{'|'.join(KINDS.values())}"
-    found = F.filter(
-        F.transform("words", lambda w, i: F.struct(i.alias("position"), w.alias("word"))),
-        lambda c: (F.length(c["word"]) >= 8) & F.rlike(c["word"], F.lit(shaped)),
+    given = lambda c: (
+        (F.length(c["word"]) >= 4)
+        & F.coalesce(F.right(c["last"], F.lit(1)).isin("=", ":", ">"), F.lit(False))
+        & F.rlike(F.concat_ws(" ", c["second_last"], c["last"]), F.lit(GIVEN))
     )
+    shaped = lambda c: (F.length(c["word"]) >= 8) & F.rlike(c["word"], F.lit(SHAPED))
+    blank = F.array(F.lit(""))
+    # the words before each word stand beside it: a look back into the array would split the text again for each word
+    lasts = F.zip_with(F.concat(blank, "words"), F.concat(blank, blank, "words"), lambda x, y: F.struct(x.alias("last"), y.alias("second_last")))
+    placed = F.transform("words", lambda w, i: F.struct(i.alias("position"), w.alias("word")))
+    beside = F.zip_with(placed, lasts, lambda x, y: F.struct(
+        x["position"].alias("position"), x["word"].alias("word"), y["last"].alias("last"), y["second_last"].alias("second_last")
+    ))
+    bare = lambda found: F.transform(found, lambda c: F.struct(c["position"].alias("position"), c["word"].alias("word")))
+    found = F.when(F.col("signs"), bare(F.filter(beside, lambda c: shaped(c) | given(c)))).otherwise(F.filter(placed, shaped))
     rows = words.withColumn("found", found).where(F.size("found") > 0).withColumn("c", F.explode("found"))
     start = F.greatest(F.col("c.position") + 1 - AROUND, F.lit(1))
-    return rows.select(
+    return pieces(rows.select(
         "doc_id",
         F.col("c.position").cast("bigint").alias("position"),
         F.col("c.word").alias("word"),
         F.array_join(F.slice("words", start, F.col("c.position") + 1 - start), " ").alias("before"),
         F.array_join(F.slice("words", F.col("c.position") + 2, F.lit(AROUND)), " ").alias("after"),
         "path",
-    )
+    ))
 
 
 # ---- statistics of the corpus ----
@@ -93,9 +137,13 @@ def statistics(docs: DataFrame, text: str = "text") -> tuple[list[str], list[str
 
 
 def value_of(word: Column) -> Column:
-    """The part of a word after the last assignment sign, without quotes and closing marks."""
+    """The part of a piece after its name and sign, without quotes and closing marks.
+
+    Of several names in a row the last that names a secret counts, or else the first.
+    """
     bare = F.regexp_replace(word, r"^[\"'`(\[{<#*$%&!?]+|[\"'`)\]}>,;.#*$%&!?]+$", "")
-    return F.regexp_replace(F.regexp_replace(bare, r"^[A-Za-z_.\-]{2,30}[=:](?=.{4})", ""), r"^[\"'`]+", "")
+    named = rf"""^(?:[^"'`=]*(?i:{NAMED})[A-Za-z0-9_.\-]{{0,20}}|[A-Za-z_.\-]{{2,30}})["'`]?[=:]+(?=.{{4}})"""
+    return F.regexp_replace(F.regexp_replace(bare, named, ""), r"^[\[{(\"'`]+", "")
 
 
 def features(found: DataFrame, dictionary: list[str], pairs: list[str]) -> DataFrame:
@@ -184,12 +232,12 @@ def derived_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         (0, join(text_("+1(0"), digits(2, "y"), text_(")"), digits(7, "z"), at(1)), at(2)),
     ]
     rows_ = F.array(*(F.struct(F.lit(k).cast("double").alias("label"), w.alias("word"), b.alias("near")) for k, w, b in made))
-    return some.select("w", F.explode(rows_).alias("f")).select(
+    return pieces(some.select("w", F.explode(rows_).alias("f")).select(
         F.col("f.word").alias("word"),
         F.concat_ws(" ", at(6), at(7), F.col("f.near")).alias("before"),
         F.concat_ws(" ", at(5), at(4)).alias("after"),
         F.lit("").alias("path"), F.col("f.label").alias("label"),
-    )
+    ))
 
 
 def fit(findings: DataFrame, dictionary: list[str], pairs: list[str]) -> PipelineModel | None:
@@ -218,7 +266,7 @@ def find_secrets(
     docs: DataFrame, findings: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", path: str | None = None,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """One row per candidate: doc_id, position, word, value, kind, score, is_secret.
+    """One row per candidate: doc_id, position, word, value, kind, score, is_secret; `word` is the piece of the word that holds it.
 
     The forest learns from `findings` (at most `SAMPLE_FINDINGS` of them are used, by hash), or from `derived_findings`.
     Null and empty texts have no candidates; equal candidates at different places are rows of their own; a repeated id
