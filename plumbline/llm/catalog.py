@@ -20,6 +20,7 @@ from plumbline.llm.quality_cotraining import op6_quality_cotraining
 from plumbline.llm.quality_rules import op10_quality_rules
 from plumbline.llm.secrets import op8_secrets
 from plumbline.llm.simhash import op5_simhash
+from plumbline.llm.spelling import op13_spelling
 from plumbline.llm.toxicity import op9_toxicity
 from plumbline.llm.warc import op1_warc
 from plumbline.storage import run_folder
@@ -68,6 +69,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op13_spelling": op13_spelling,
 }
 QUERIES = {name: _with_package(query) for name, query in QUERIES.items()}
 SQL: dict[str, str] = {
