@@ -16,6 +16,8 @@ from plumbline.llm.chat import OP4_SQL, op4_chat
 from plumbline.llm.decontamination import op7_decontamination
 from plumbline.llm.line_dedup import op3_line_dedup
 from plumbline.llm.packing import op2_packing
+from plumbline.llm.prefix_trie import op11_prefix_trie
+from plumbline.llm.private_data import op12_pii
 from plumbline.llm.quality_cotraining import op6_quality_cotraining
 from plumbline.llm.quality_rules import op10_quality_rules
 from plumbline.llm.secrets import op8_secrets
@@ -69,6 +71,8 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_pii": op12_pii,
     "op13_spelling": op13_spelling,
 }
 QUERIES = {name: _with_package(query) for name, query in QUERIES.items()}
