@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-import zlib
+import json
 from collections.abc import Iterator
 from functools import cache
 
@@ -20,7 +20,7 @@ BLOCK_WINDOWS = 64
 PIECE = 256
 #: Share of a block's windows that is left free, so that near-equal windows fit.
 SLACK = 1 / 128
-#: Words whose ids a worker keeps.
+#: Words whose ids a worker keeps from one batch to the next.
 CACHE_WORDS = 400_000
 #: Bits of the sequence id that number the sequences of one partition.
 SEQUENCE_BITS = 33
@@ -30,11 +30,15 @@ SEQUENCE_BITS = 33
 OTHER_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-def byte_letters() -> dict[int, str]:
-    """The letter by which byte-level vocabularies write each byte: itself if it is visible, else one from 256 on."""
-    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in visible]
-    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(rest)}
+#: What a tokenizer's file says if texts can be read word by word, and how it writes a space.
+WORDWISE = {
+    "normalizer": None,
+    "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+    "truncation": None,
+    "padding": None,
+}
+WORDWISE_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "byte_fallback": False}
+SPACE_LETTER = "\u0120"
 
 
 class Encoder:
@@ -43,70 +47,80 @@ class Encoder:
     The tokenizer's pattern gives the last space before a word to that word, so no token reaches over a space that opens
     or closes a run of white space. A text whose white space is single spaces and line feeds is therefore the chain of
     its words, each with the space or line feed before it; a comma or stop after letters is a token of its own. All other
-    texts, and those that name a special token, go to the tokenizer whole.
+    texts, and those that name a special token, go to the tokenizer whole; so do all texts where the tokenizer's file
+    names another normalizer, pattern or kind of model than `WORDWISE`.
     """
 
     def __init__(self, path: str, kept: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.by_words = all(spec.get(k) == v for k, v in WORDWISE.items()) and all(
+            spec["model"].get(k) == v for k, v in WORDWISE_MODEL.items()
+        )
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = byte_letters()
+        if not self.by_words:
+            return
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = ["  ", "\n\n", " \n", "\n ", *OTHER_SPACE, *special]
-        self.kept, self.ids, self.once = kept, {}, set()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
+        self.opens[[i for token, i in vocabulary.items() if token[:1] == SPACE_LETTER]] = True
+        self.kept, self.ids = kept, {}
         self.ends = {x: self._encode([x])[0] for x in ",."}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in done]
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of new words; those that were new before are kept, the rest only noted."""
-        found, tokens, ends = {}, self.model.tokenize, self.ends
-        odd = []
+    def _spelt(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, each behind a space: they are read in rows, and cut where a token opens with one."""
+        out: list[bytes] = []
+        rows = [words[i : i + 1024] for i in range(0, len(words), 1024)]
+        for row, ids in zip(rows, self._encode([" " + " ".join(row) for row in rows])):
+            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")])).tolist()
+            if len(cuts) != len(row):
+                raise ValueError("a token reaches over a space")
+            out += [ids[a:b] for a, b in zip(cuts, [*cuts[1:], len(ids)])]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Keep the ids of new words."""
+        ends, known = self.ends, self.ids
+        odd, closed = [], []
+        bare = set()
         for word in words:
-            bare, end = (word[:-1], ends[word[-1]]) if word[-1:] in ends and word[-2:-1].isalpha() else (word, b"")
-            if bare in self.ids:
-                found[word] = self.ids[bare] + end
-            elif bare.isalpha():
-                spelt = (" " + bare).encode().decode("latin-1").translate(self.letters)
-                found[word] = np.array([t.id for t in tokens(spelt)], "<u4").tobytes() + end
+            if word.isalpha():
+                bare.add(word)
+            elif word[-1:] in ends and word[:-1].isalpha():
+                closed.append(word)
+                if word[:-1] not in known:
+                    bare.add(word[:-1])
             else:
                 odd.append(word)
-        found.update(zip(odd, self._encode([w if w[:1] == "\n" else " " + w for w in odd])))
-        again = self.once & words
-        if len(self.ids) > self.kept:
-            self.ids.clear()
-        self.ids.update((w, found[w]) for w in again)
-        if len(self.once) > 2 * self.kept:
-            self.once.clear()
-        self.once |= words - again
-        return found
+        spelt = list(bare)
+        known.update(zip(spelt, self._spelt(spelt)))
+        known.update((word, known[word[:-1]] + ends[word[-1]]) for word in closed)
+        known.update(zip(odd, self._encode([w if w[:1] == "\n" else " " + w for w in odd])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
+        if not self.by_words:
+            return self._encode(texts)
         whole = [i for i, t in enumerate(texts) if t.endswith(" ") or any(x in t for x in self.whole)]
         apart = set(whole)
         split = [[] if i in apart else t.replace("\n", " \n").split(" ") for i, t in enumerate(texts)]
         opening = [i for i, words in enumerate(split) if words]
         firsts = dict(zip(whole + opening, self._encode([texts[i] for i in whole] + [split[i][0] for i in opening])))
         tails = [words[1:] for words in split]
+        if len(self.ids) > self.kept:
+            self.ids.clear()
+        new = set().union(*tails)
+        new -= self.ids.keys()
+        self._learn(new)
         keep = self.ids.__getitem__
-        out, late, new = [b""] * len(texts), [], set()
-        for i, words in enumerate(tails):
-            try:
-                out[i] = firsts[i] + b"".join(map(keep, words))
-            except KeyError:
-                late.append(i)
-                new.update(words)
-        if late:
-            new -= self.ids.keys()
-            kept = dict(self.ids) if len(self.ids) > self.kept else self.ids  # learning may drop what is kept
-            found = self._learn(new)
-            for i in late:
-                out[i] = firsts[i] + b"".join([kept[w] if w in kept else found[w] for w in tails[i]])
-        return out
+        return [b"".join([firsts[i], *map(keep, words)]) for i, words in enumerate(tails)]
 
 
 @cache
