@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.sources.csv_records import csv_records
+
 _REJECT = "_rejected"
 _CSV = {
     "header": "true",
@@ -16,36 +18,45 @@ _CSV = {
 }
 
 
-def _header(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> tuple[dict[str, str], T.StructType]:
-    """Reader options and the file's columns, all as text, in the file's order; an error if the schema has others."""
-    options = {**_CSV, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
-    names = spark.read.options(**options).csv(path).columns  # reads the first line
-    missing = [n for n in schema.fieldNames() if n not in names]
-    if missing:
-        raise ValueError(f"missing columns: {', '.join(missing)}")
-    return options, T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+def _parsed(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """(record, row, fault): each record with the schema's columns as text, and what is wrong with it or null."""
+    records, headers = csv_records(spark, path, multi_line)
+    names = schema.fieldNames()
+    for found in headers or [[]]:
+        missing = [n for n in names if n not in found]
+        if missing:
+            raise ValueError(f"missing columns: {', '.join(missing)}")
+    options = {**_CSV, "header": "false", "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT}
+    read = F.lit(None)
+    for number, found in enumerate(headers):
+        fields = ", ".join(f"c{i} string" for i in range(len(found)))
+        row = F.from_csv("record", f"{fields}, {_REJECT} string", options)
+        wanted = F.struct(*(row[f"c{found.index(n)}"].alias(f"c{i}") for i, n in enumerate(names)), row[_REJECT].alias(_REJECT))
+        read = F.when(F.col("header") == number, wanted).otherwise(read)
+    rows = records.withColumn("row", read)
+    fault = F.when(F.col("row").isNull() | F.col(f"row.{_REJECT}").isNotNull(), F.concat(F.lit("wrong number of fields: "), F.col("record")))
+    for i, f in enumerate(schema.fields):
+        value = F.col(f"row.c{i}")
+        bad = value.isNotNull() & value.try_cast(f.dataType).isNull()
+        fault = fault.when(bad, F.concat(F.lit(f"{f.name} holds "), value))
+    return rows.select("record", "row", fault.alias("fault"))
+
+
+def _typed(schema: T.StructType) -> list[Column]:
+    return [F.col(f"row.c{i}").try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
 
 
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """A CSV file or folder with a header, under an explicit schema; an empty field is NULL.
+    """A CSV file or folder with headers, under an explicit schema; an empty field is NULL.
 
-    Columns are found by their names in the header, whatever their order; further ones are left out. A missing column is
-    an error at once, a row with the wrong number of fields or a value that is not of its type when it is read. With
-    `multi_line` texts may hold line breaks, and a file is one task; so land it as Parquet at once.
+    Columns are found by their names in the header of each file, whatever their order; further ones are left out. A missing
+    column is an error at once, a row with the wrong number of fields or a value that is not of its type when it is read, also by
+    a count or by a query that leaves that column out. With `multi_line` texts may hold line breaks; either way a large file is
+    read by many tasks. Row order is not kept.
     """
-    options, as_text = _header(spark, path, schema, multi_line)
-    rows = spark.read.options(**options, mode="FAILFAST").schema(as_text).csv(path)
-    message = lambda f: F.concat(F.lit(f"{f.name} holds "), F.col(f"`{f.name}`"))
-
-    def typed(f: T.StructField):
-        value = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.StringType):
-            return value
-        cast = value.try_cast(f.dataType)
-        fault = F.raise_error(message(f)).cast(f.dataType)
-        return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(fault).alias(f.name)
-
-    return rows.select(*(typed(f) for f in schema.fields))
+    rows = _parsed(spark, path, schema, multi_line)
+    sound = F.when(F.col("fault").isNull(), F.lit(True)).otherwise(F.raise_error(F.col("fault")).cast("boolean"))
+    return rows.where(sound).select(*_typed(schema))  # a filter, which no plan leaves out
 
 
 def csv_scan_skip_errors(
@@ -53,22 +64,12 @@ def csv_scan_skip_errors(
 ) -> tuple[DataFrame, DataFrame]:
     """Readable rows, and the text of the others instead of losing them silently.
 
-    Columns are found by their names, as in `csv_scan`. A row is bad if it has the wrong number of fields or a field that is not of its column's type. Fields are read
-    as text and cast here, so that every field is judged, whichever columns are selected later.
+    Columns are found by their names, as in `csv_scan`. A row is bad if it has the wrong number of fields or a field that is not
+    of its column's type; every field of the schema is judged, whichever columns are selected later.
     """
-    options, as_text = _header(spark, path, schema, multi_line)
-    everything = as_text.fieldNames()
-    marked = as_text.add(_REJECT, T.StringType())
-    options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT, "enforceSchema": "true"}
-    rows = spark.read.options(**options).schema(marked).csv(path)
-    names = schema.fieldNames()
-    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
-    bad = F.col(_REJECT).isNotNull()
-    for name in names:
-        bad = bad | (F.col(name).isNotNull() & typed[name].isNull())
-    kept = rows.filter(~bad).select(*(typed[name].alias(name) for name in names))
-    line = F.coalesce(F.col(_REJECT), F.to_csv(F.struct(*everything)))
-    return kept, rows.filter(bad).select(line.alias("line"))
+    rows = _parsed(spark, path, schema, multi_line)
+    kept = rows.where("fault IS NULL").select(*_typed(schema))
+    return kept, rows.where("fault IS NOT NULL").select(F.col("record").alias("line"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
