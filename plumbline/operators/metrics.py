@@ -100,9 +100,10 @@ def _score_steps(df: DataFrame, y: str, p: str, by: list[str], more: dict[str, C
         *(value.alias(name) for name, value in more.items()),
     )
     falling = steps.withColumn("_down", -F.col(p))
-    bucketed = range_bucket(falling, "_down", range_cuts(df.select((-F.col(p)).alias("_down")), "_down"))
+    cuts = range_cuts(df.select((-F.col(p)).alias("_down")), "_down")
+    bucketed = range_bucket(falling, "_down", cuts)
     measures = {"pos_to": F.col("pos"), "neg_to": F.col("neg")}
-    return running_totals(bucketed, by, F.col("_range"), [F.col("_down")], measures).drop("_range", "_down")
+    return running_totals(bucketed, by, F.col("_range"), len(cuts) + 2, [F.col("_down")], measures).drop("_range", "_down")
 
 
 def _curve_sums(df: DataFrame, y: str, p: str, by: list[str], more: dict[str, Column] = {}) -> DataFrame:

@@ -3,17 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.operators.ranking import (
-    MAX_PARTIAL_LIMIT,
-    hash_ranked,
-    order_ranked,
-    seeded_hash,
-    top_per_group,
-)
+from plumbline.operators.ranking import hash_ranked, order_ranked, seeded_hash, width
 
 
 def narrative_filter(df: DataFrame, text: str, shortest: int, longest: int) -> DataFrame:
@@ -25,18 +20,59 @@ def equals(df: DataFrame, column: str, value) -> DataFrame:
     return df.filter(F.col(column) == F.lit(value))
 
 
+def hash_thresholds(df: DataFrame, stratum: str, quotas: dict[str, int], key: str, sorted_rows: int = 10_000) -> dict[str, str | None]:
+    """Per stratum the hash of the last row that its quota takes, None if it takes all; strata without rows are left out.
+
+    Rows are counted by the first digits of their hash; the digits in which the quota ends are refined, those rows alone being
+    counted again, until at most `sorted_rows` rows of a stratum are left to be sorted. Counts are added up in the map tasks,
+    and one row a stratum reaches the driver each time.
+    """
+    digits = max(2, ceil(log(width(df.sparkSession), 16)))
+    hashed = df.select(F.col(stratum).alias("s"), seeded_hash(key, None).alias("h"))
+    edges, need = {s: "" for s in quotas}, {s: n for s, n in quotas.items() if n > 0}
+    found: dict[str, str | None] = {s: "" for s, n in quotas.items() if n <= 0}
+    length, ready = 0, {}
+
+    def inside(strata):
+        return reduce(lambda a, b: a | b, ((F.col("s") == s) & F.col("h").startswith(edges[s]) for s in strata))
+
+    while need:
+        length = min(32, length + digits)
+        counts = hashed.filter(inside(need)).groupBy("s", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("s").orderBy("p"))
+        last = F.max("upto").over(Window.partitionBy("s"))
+        wanted = _lookup(F.col("s"), need)
+        steps = counts.withColumn("upto", upto).withColumn("all", last).withColumn("wanted", wanted)
+        edge = steps.filter((F.col("upto") >= F.least("wanted", "all")) & (F.col("upto") - F.col("n") < F.least("wanted", "all")))
+        rows = edge.collect()
+        for s in set(need) - {r["s"] for r in rows}:
+            need.pop(s)
+        for r in rows:
+            s = r["s"]
+            if r["all"] <= need[s]:
+                found[s] = None
+                need.pop(s)
+                continue
+            edges[s], need[s] = r["p"], need[s] - (r["upto"] - r["n"])
+            if r["n"] <= sorted_rows or length == 32:
+                ready[s] = need.pop(s)
+    if ready:
+        place = F.row_number().over(Window.partitionBy("s").orderBy("h"))
+        ends = hashed.filter(inside(ready)).withColumn("n", place).filter(F.col("n") == _lookup(F.col("s"), ready))
+        found |= {r["s"]: r["h"] for r in ends.collect()}
+    return found
+
+
 def hash_ordered_sample(df: DataFrame, stratum: str, quotas: dict[str, int], key: str) -> DataFrame:
-    """Per stratum the first rows by hash of the id, as many as its quota; a larger quota only adds rows."""
-    listed = df.filter(F.col(stratum).isin(list(quotas)))
-    quota = _lookup(F.col(stratum), quotas)
-    largest = max(quotas.values())
-    if largest <= MAX_PARTIAL_LIMIT:
-        hashed = listed.withColumn("_h", seeded_hash(key, None))
-        order = [F.col("_h"), F.col(key)]
-        kept = top_per_group(hashed, [stratum], order, largest)
-        position = F.row_number().over(Window.partitionBy(stratum).orderBy(*order))
-        return kept.withColumn("_n", position).filter(F.col("_n") <= quota).drop("_n", "_h")
-    return hash_ranked(listed, key, [stratum], name="_n").filter(F.col("_n") <= quota).drop("_n")
+    """Per stratum the first rows by hash of the id, as many as its quota; a larger quota only adds rows.
+
+    The sample is a filter on df: hashes up to the threshold that `hash_thresholds` finds. Ids must tell rows apart; rows
+    with one id are taken or left together. Strata that are not in `quotas`, and null ones, are left out.
+    """
+    ends = hash_thresholds(df, stratum, quotas, key)
+    hashed = seeded_hash(key, None)
+    kept = ((F.col(stratum) == s) & (F.lit(True) if h is None else hashed <= h) for s, h in ends.items())
+    return df.filter(reduce(lambda a, b: a | b, kept, F.lit(False)))
 
 
 def _lookup(value: Column, table: dict[str, int]) -> Column:

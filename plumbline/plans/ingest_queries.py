@@ -24,9 +24,11 @@ GOLDEN_CSV = struct(complaint_id=LONG, product=TEXT, narrative=TEXT, churn_signa
 )
 def s1(v):
     path = run_folder(v.spark, "csv")
-    swapped = v.complaints.select("narrative", "n_chars", F.lit("x").alias("further"), "product", "source", "complaint_id")
-    files.write_csv(swapped, path)
-    return files.csv_scan(v.spark, path, LABELLED_TEXT)
+    even = F.col("complaint_id") % 2 == 0
+    swapped = v.complaints.filter(even).select("narrative", "n_chars", F.lit("x").alias("further"), "product", "source", "complaint_id")
+    files.write_csv(swapped, f"{path}/swapped")
+    files.write_csv(v.complaints.filter(~even).select(*LABELLED_TEXT.fieldNames()), f"{path}/plain")
+    return files.csv_scan(v.spark, f"{path}/*", LABELLED_TEXT)
 
 
 @query(
@@ -36,8 +38,10 @@ def s1(v):
 def s2(v):
     path = run_folder(v.spark, "csv-errors")
     shown = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
-    files.write_csv(v.read("events").select(shown.alias("value"), "event_id"), path)
-    kept, _ = files.csv_scan_skip_errors(v.spark, path, struct(event_id=LONG, value=DOUBLE), multi_line=False)
+    rows, early = v.read("events").withColumn("value", shown), F.col("event_id") < 500
+    files.write_csv(rows.filter(early).select("value", "event_id"), f"{path}/early")
+    files.write_csv(rows.filter(~early).select("event_id", "user_id", "value"), f"{path}/late")
+    kept, _ = files.csv_scan_skip_errors(v.spark, f"{path}/*", struct(event_id=LONG, value=DOUBLE))
     return kept
 
 
@@ -117,8 +121,10 @@ def s8(v):
 )
 def s9(v):
     path = run_folder(v.spark, "golden-csv")
-    files.write_csv(v.golden_raw.select(*GOLDEN_CSV.fieldNames()), path)
-    return validate_required_columns(files.csv_scan(v.spark, path, GOLDEN_CSV))
+    names, first = GOLDEN_CSV.fieldNames(), F.col("churn_signal") == 1
+    files.write_csv(v.golden_raw.filter(first).select(*names), f"{path}/first")
+    files.write_csv(v.golden_raw.filter(~first).select(*reversed(names)), f"{path}/second")
+    return validate_required_columns(files.csv_scan(v.spark, f"{path}/*", GOLDEN_CSV))
 
 
 @query("s10_write_csv", sql("folds", "SELECT complaint_id, fold FROM folds"))

@@ -105,3 +105,42 @@ def test_unscored_rows_are_shown_or_refused(spark):
     assert metrics.unscored_rows(df, "y", "p").count() == 2
     with pytest.raises(Exception, match="unscored row"):
         metrics.confusion_matrix(metrics.every_row_scored(df, "y", "p"), "y", "p").collect()
+
+
+def test_one_path_for_small_and_large_quotas(spark):
+    df = spark.range(60_000).select("id", F.when(F.col("id") < 50_000, "hot").when(F.col("id") < 50_003, F.lit(None)).otherwise(F.concat(F.lit("cold"), F.col("id") % 2)).alias("s"))
+    order = lambda ids: sorted(ids, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    strata = {"hot": order(range(50_000)), "cold0": order(range(50_004, 60_000, 2)), "cold1": order(range(50_003, 60_000, 2))}
+    for quotas in ({"hot": 10, "cold0": 4_000, "cold1": 10**6}, {"hot": 30_000, "cold0": 1, "cold1": 0, "none": 5}):
+        for rows in (50, 10_000):
+            ends = sampling.hash_thresholds(df, "s", quotas, "id", rows)
+            assert "none" not in ends
+            found = sampling.hash_ordered_sample(df, "s", quotas, "id") if rows == 10_000 else None
+            for s, ids in strata.items():
+                n = quotas[s]
+                last = hashlib.md5(str(ids[n - 1]).encode()).hexdigest() if 0 < n <= len(ids) else None if n else ""
+                assert ends[s] == last
+                if found is not None:
+                    assert {r["id"] for r in found.filter(F.col("s") == s).collect()} == set(ids[:n])
+    plan = sampling.hash_ordered_sample(df, "s", {"hot": 10}, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_totals_over_a_deep_tree_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "FAN", 3)
+    monkeypatch.setattr(ranking, "width", lambda _: 200)
+    df = spark.range(3000).select("id", F.when(F.col("id") < 2600, "hot").when(F.col("id") < 2700, F.lit(None)).otherwise("rest").alias("g")).repartition(5)
+    order = lambda ids: sorted(ids, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    groups = [order(range(2600, 2700)), order(range(2600)), order(range(2700, 3000))]  # the null group first
+    apart = {r["id"]: r["rank"] for r in ranking.hash_ranked(df, "id", ["g"]).collect()}
+    through = {r["id"]: r["rank"] for r in ranking.hash_ranked(df, "id", ["g"], across_groups=True).collect()}
+    assert all(apart[i] == at + 1 for ids in groups for at, i in enumerate(ids))
+    assert [through[i] for ids in groups for i in ids] == list(range(1, 3001))
+    assert {r["rank"]: r["id"] for r in ranking.order_ranked(df, "id").collect()} == {i + 1: i for i in range(3000)}
+
+
+def test_a_hot_group_is_spread_over_the_shuffle_partitions(spark):
+    df = spark.range(40_000).select("id", F.lit("one").alias("g"))
+    keyed = ranking.hash_ranked(df, "id", ["g"]).select("id", F.spark_partition_id().alias("p"))
+    largest = keyed.groupBy("p").count().agg(F.max("count")).first()[0]
+    assert largest < 40_000
