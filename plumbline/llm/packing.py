@@ -6,6 +6,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -131,6 +132,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+FIRST = itemgetter(0)
+
+
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
     """Karmarkar-Karp: the items of each of `windows` windows with near-equal sums.
 
@@ -141,35 +145,26 @@ def difference(sizes: list[int], windows: int) -> list[list[int]]:
         return [[] for _ in range(windows)]
     # A node is an item (>= 0) or a pair of nodes (< 0, into `pairs`); only filled windows of a partition are stored.
     pairs: list[tuple[int, int]] = []
-    heap = [(-size, i, np.array([size]), np.array([i])) for i, size in enumerate(sizes)]
+    heap = [(-size, i, [(-size, i)]) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
     order = len(sizes)
     while len(heap) > 1:
-        _, _, sums_a, nodes_a = heapq.heappop(heap)
-        _, _, sums_b, nodes_b = heapq.heappop(heap)
-        if len(sums_a) < len(sums_b):
-            sums_a, nodes_a, sums_b, nodes_b = sums_b, nodes_b, sums_a, nodes_a
-        # sums are in falling order, empty windows last: the fullest of b meets the emptiest of a
-        width = min(windows, len(sums_a) + len(sums_b))
-        sums = np.zeros(width, np.int64)
-        nodes = np.full(width, -1)
-        sums[: len(sums_a)], nodes[: len(sums_a)] = sums_a, nodes_a
-        at = np.arange(width - 1, width - 1 - len(sums_b), -1)
-        both = at[at < len(sums_a)]
-        sums[at] += sums_b
-        if len(both):
-            low = len(pairs)
-            pairs.extend(zip(nodes[both].tolist(), nodes_b[len(at) - len(both):].tolist()))
-            nodes[both] = -2 - np.arange(low, low + len(both))
-        alone = at[at >= len(sums_a)]
-        nodes[alone] = nodes_b[: len(alone)]
-        fall = np.argsort(-sums, kind="stable")
-        sums, nodes = sums[fall], nodes[fall]
-        spread = int(sums[0]) - (int(sums[-1]) if width == windows else 0)
-        heapq.heappush(heap, (-spread, order, sums, nodes))
+        a, b = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
+        if len(a) < len(b):
+            a, b = b, a
+        # (-sum, node) in rising order, empty windows last: the fullest of b meets the emptiest of a
+        filled = len(a)
+        width = min(windows, filled + len(b))
+        empty = width - filled
+        for at, (size, node) in zip(range(width - 1 - empty, -1, -1), b[empty:]):
+            pairs.append((a[at][1], node))
+            a[at] = (a[at][0] + size, -1 - len(pairs))
+        a += b[:empty][::-1]
+        a.sort(key=FIRST)
+        heapq.heappush(heap, (a[0][0] - (a[-1][0] if width == windows else 0), order, a))
         order += 1
     out = []
-    for node in heap[0][3].tolist():
+    for _, node in heap[0][2]:
         items, todo = [], [node]
         while todo:
             x = todo.pop()
