@@ -76,16 +76,16 @@ def text_fingerprints(texts: list[str | None], k: int = SHINGLE, chunk: int = 20
     return out
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): the fingerprint of the whole text as a signed long.
 
-    A-Z are lowered, words end at space and \\x09-\\x0D, shingles have three words; shorter texts are one shingle. A null
+    A-Z are lowered, words end at space and \\x09-\\x0D, shingles have `shingle` words; shorter texts are one shingle. A null
     text, an empty text and one of white space only have fingerprint zero.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = text_fingerprints(batch.column(1).to_pylist())
+            found = text_fingerprints(batch.column(1).to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -112,17 +112,20 @@ def _children(free: int, widths: tuple[int, ...]) -> list[int]:
     return out
 
 
-def node_masks() -> list[dict[str, list[tuple[str, int]]]]:
+def node_masks(distance: int = DISTANCE) -> list[dict[str, list[tuple[str, int]]]]:
     """For each level: the masks of the nodes by the path of the node above.
 
-    Two fingerprints with at most two differing bits agree on one of three disjoint masks, and so at each level below.
+    Two fingerprints with at most two differing bits agree on one of three disjoint masks, and so at each level below. For
+    n bits there are n + 1 masks, and two levels.
     """
     levels, above = [], {"": 0}
-    for widths in LEVELS:
+    for depth in range(len(LEVELS) if distance == DISTANCE else 2):
         level = {}
         for path, mask in above.items():
             free = ~mask & (2**BITS - 1)
-            level[path] = [(path + str(i), mask | m) for i, m in enumerate(_children(free, widths))]
+            share, more = divmod(free.bit_count(), distance + 1)
+            widths = LEVELS[depth] if distance == DISTANCE else tuple(share + (i < more) for i in range(distance + 1))
+            level[path] = [(f"{path}{i:x}", mask | m) for i, m in enumerate(_children(free, widths))]
         levels.append(level)
         above = dict(x for row in level.values() for x in row)
     return levels
@@ -202,7 +205,7 @@ def gray_join(fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000) -
     return forest.links
 
 
-def _node_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _node_links(batches: Iterator[pa.RecordBatch], distance: int = DISTANCE) -> Iterator[pa.RecordBatch]:
     """Rows sorted by node and Gray rank; a node that goes on in the next batch waits for it."""
     held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
@@ -212,7 +215,7 @@ def _node_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.append(cut, len(fps))
         a, b = [], []
         for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-            for x, y in gray_join(fps[s:e]):
+            for x, y in gray_join(fps[s:e], distance):
                 a.append(s + x), b.append(s + y)
         return pa.RecordBatch.from_arrays(
             [pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], ["a", "b"]
@@ -238,8 +241,8 @@ def _node_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
-def links(fps: DataFrame, node_rows: int = NODE_ROWS) -> DataFrame:
-    """Distinct fingerprints (fp) to links (a, b) that connect all pairs with at most two differing bits.
+def links(fps: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE) -> DataFrame:
+    """Distinct fingerprints (fp) to links (a, b) that connect all pairs with at most `distance` differing bits.
 
     Three masks of about 21 bits are the top nodes. Nodes with more than `node_rows` members are split by masks over
     their free bits, three children each, until they fit or few bits are free; so no task gathers more than that of one
@@ -247,7 +250,7 @@ def links(fps: DataFrame, node_rows: int = NODE_ROWS) -> DataFrame:
     """
     placed = fps.select(F.lit("").alias("path"), F.col("fp"))
     kept = []
-    masks = node_masks()
+    masks = node_masks(distance)
     for depth, level in enumerate(masks):
         child = F.lit(None)
         for path, rows in level.items():
@@ -270,7 +273,7 @@ def links(fps: DataFrame, node_rows: int = NODE_ROWS) -> DataFrame:
     for more in kept[1:]:
         nodes = nodes.union(more)
     ordered = nodes.repartition("path", "pattern").sortWithinPartitions("path", "pattern", gray_rank(F.col("fp")))
-    return ordered.select("path", "pattern", "fp").mapInArrow(_node_links, "a bigint, b bigint")
+    return ordered.select("path", "pattern", "fp").mapInArrow(lambda batches: _node_links(batches, distance), "a bigint, b bigint")
 
 
 # ---- operator ----
@@ -292,13 +295,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return found.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose id is the smallest of their component, with all their columns."""
-    groups = near_duplicates(docs, doc_id, text)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(first, docs[doc_id].eqNullSafe(first[doc_id]), "left_semi")
-
-
 def op5_simhash(spark, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from plumbline.llm import graph, simhash
+from plumbline.llm import graph, near_texts, simhash
 
 
 def fingerprint(text):
@@ -108,6 +108,6 @@ def test_odd_documents(spark, odd, none):
     found = {r["doc_id"]: r["component_id"] for r in rows}
     assert found[1] == found[2] == found[3] == 1 and found[4] == found[6] == 4 and found[5] == 5 and found[None] is None
     assert simhash.near_duplicates(none).count() == 0
-    kept = simhash.one_of_each(odd)
+    kept = near_texts.one_of_each(odd)
     assert kept.columns == odd.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "4", "4", "5", "None"]
