@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from plumbline.llm.catalog import ship
 from plumbline.llm.decontamination import drop_leaking
 from plumbline.llm.line_dedup import REMOVED, remove_repeats
+from plumbline.llm.near_texts import one_of_each
 from plumbline.llm.packing import digests, pack
-from plumbline.llm.simhash import one_of_each
 from plumbline.llm.toxicity import keep_clean
 from plumbline.storage import run_folder
 
@@ -31,7 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that SimHash links, the one with the smallest id stays."""
+    """Of documents that are near copies (five-word shingles, Jaccard 0.8), the one with the smallest id stays."""
     ship(spark)
     return one_of_each(docs)
 
