@@ -37,19 +37,22 @@ def proposal_match(batch: DataFrame, proposals: DataFrame, key: str) -> tuple[Da
     return matched, found.filter(F.col("_p").isNull()).select(*batch.columns)
 
 
+def raise_unless(sound: Column, message: Column) -> Column:
+    """A filter's condition that holds for every row, or fails the job.
+
+    It counts as changing from row to row, so that the optimizer neither tries it on made-up rows nor moves it.
+    """
+    return F.when(sound | (F.rand() < 0), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def strict_lookup_join(df: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Rows with the looked-up columns; the job fails on the first id that the lookup side lacks.
 
-    The check sits in the key and in each looked-up column, so that it stays whichever of them is selected.
+    The check is a filter above the join, so a count or a select of other columns runs it too.
     """
     looked = df.join(dim.select(key, *columns, F.lit(True).alias("_hit")), key, "left")
-    message = F.concat(F.lit(f"no entry for {key} "), F.col(key).cast("string"))
-    kinds = dict(looked.dtypes)
-
-    def checked(name: str) -> Column:
-        return F.when(F.col("_hit"), F.col(name)).otherwise(F.raise_error(message).cast(kinds[name]))
-
-    return looked.withColumns({name: checked(name) for name in [key, *columns]}).drop("_hit")
+    message = F.concat(F.lit(f"no entry for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    return looked.filter(raise_unless(F.coalesce("_hit", F.lit(False)), message)).drop("_hit")
 
 
 def attach_narrative(preds: DataFrame, golden: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.sources import versions
 from plumbline.sources.csv_records import csv_records
 
 _REJECT = "_rejected"
@@ -91,9 +92,12 @@ def latest_snapshot(spark: SparkSession, root: str, prefix: str) -> str:
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Write the whole table in place of what was there, and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Put df in place of what the table held, in one step, and read it back.
+
+    Readers see the old table or the new one whole, and df may read the table that it replaces; old versions stay until
+    `versions.drop_versions`. Read such a table with `table_scan`.
+    """
+    return versions.publish_version(df, path)
 
 
 def append_table(df: DataFrame, path: str) -> None:
@@ -101,7 +105,8 @@ def append_table(df: DataFrame, path: str) -> None:
 
 
 def table_scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """A Parquet table, or the last version of one that `replace_table` wrote."""
+    df = versions.read_version(spark, path) if versions.is_versioned(spark, path) else spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from plumbline.operators.joins import anti_join_todo, latest_per_key
 from plumbline.operators.responses import attach_proposals
 from plumbline.sources.files import append_table, replace_table
+from plumbline.sources.versions import append_part, read_parts
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -28,13 +30,20 @@ def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def resume_append(
-    source: DataFrame, target: str, work: Callable[[DataFrame], DataFrame], key: str, schema: T.StructType
+    source: DataFrame, target: str, work: Callable[[DataFrame], DataFrame], key: str, schema: T.StructType, slices: int = 1
 ) -> DataFrame:
-    """Do the rows whose id the target lacks and append their results; a rerun goes on where the last one ended."""
+    """Do the rows whose id the target lacks and append their results; a rerun goes on where the last one ended.
+
+    The rows are done in `slices` parts by hash of the id. A part counts once its files are complete, so a run that is
+    stopped keeps all parts that it finished, and what it left of the next one is never read.
+    """
     spark = source.sparkSession
-    done = table_or_empty(spark, target, schema)
-    append_table(work(anti_join_todo(source, done, key)).select(*schema.fieldNames()), target)
-    return spark.read.schema(schema).parquet(target)
+    run = uuid.uuid4().hex
+    done = read_parts(spark, target, schema)
+    for number in range(slices):
+        own = source.filter(F.pmod(F.xxhash64(key), F.lit(slices)) == number) if slices > 1 else source
+        append_part(work(anti_join_todo(own, done, key)).select(*schema.fieldNames()), target, f"part-{run}-{number:06d}")
+    return read_parts(spark, target, schema)
 
 
 def stream_append(

@@ -83,9 +83,11 @@ def test_strict_lookup_fails_whatever_is_selected(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
     right = spark.createDataFrame([(1, 0)], "id long, fold int")
     joined = strict_lookup_join(left, right, "id", ["fold"])
-    for df in (joined.select("v", "fold"), joined.groupBy("fold").count(), joined):
+    for df in (joined.select("v", "fold"), joined.groupBy("fold").count(), joined, joined.select("v"), joined.groupBy().count()):
         with pytest.raises(Exception, match="no entry for id 2"):
             df.collect()
+    with pytest.raises(Exception, match="no entry for id 2"):
+        joined.count()
 
 
 def test_phrases_are_whole_words_and_plain_text(spark):
