@@ -13,18 +13,9 @@ from pyspark.sql import functions as F
 
 from plumbline.schemas import EXTRACTION_KEYS, URGENCY_LEVELS
 
-_STRING = r'"(?:[^"\\]++|\\.)*+"'
-NESTING = 3  # arrays inside the objects of an array, at most so deep
-
-
-def _array(depth: int) -> str:
-    inner = "" if depth == 0 else "|" + _array(depth - 1)
-    return rf'\[(?:[^\[\]"]++|{_STRING}{inner})*+\]'
-
-
-# The first '[' up to its matching ']'; brackets inside strings do not count.
-# Possessive repeats keep the match linear in the length of the reply.
-_ARRAY_PATTERN = rf"(?s)^[^\[]*+({_array(NESTING)})"
+# What a reply is made of from its first bracket on: strings, brackets, and all between them. A string without an end goes to
+# the end. Possessive repeats keep the match linear in the length of the reply.
+_TOKEN = r'(?s)("(?:[^"\\]++|\\.)*+"|"(?:[^"\\]++|\\.)*+|\[|\]|[^"\[\]]++)'
 
 # Ids and labels are read as text, so that "1", 1.0 and true are understood like 1.
 PROPOSAL_DDL = "array<struct<id:string,label:string,evidence:string,confidence:string>>"
@@ -85,8 +76,22 @@ def rationale_text(value: Column) -> Column:
 
 
 def payload_array(reply: Column) -> Column:
-    """Text of the first JSON array in a reply, '' if there is none or it does not end."""
-    return F.regexp_extract(reply, _ARRAY_PATTERN, 1)
+    """Text of the first JSON array in a reply, '' if there is none or it does not end.
+
+    The array ends at the bracket that closes its first one, at any depth; brackets inside strings do not count.
+    """
+    rest = F.substring(reply, F.nullif(F.locate("[", reply), F.lit(0)), F.length(reply))
+    tokens = F.regexp_extract_all(rest, F.lit(_TOKEN), F.lit(1))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("read"), F.lit(False).alias("ended"))
+
+    def step(state: Column, token: Column) -> Column:
+        depth = state["depth"] + F.when(token == "[", 1).when(token == "]", -1).otherwise(0)
+        after = F.struct(depth.alias("depth"), (state["read"] + F.length(token)).alias("read"), (depth == 0).alias("ended"))
+        return F.when(state["ended"], state).otherwise(after)
+
+    end = F.aggregate(tokens, start, step)
+    found = F.coalesce(F.when(end["ended"], F.substring(rest, F.lit(1), end["read"])), F.lit(""))
+    return F.when(reply.isNotNull(), found)
 
 
 def proposals_in(reply: Column) -> Column:

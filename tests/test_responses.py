@@ -167,3 +167,35 @@ def test_proposals_with_loose_numbers_and_nested_evidence(spark):
     rows, rejects = explode_proposals(spark.createDataFrame([(reply,)], "r string"), "r", [])
     assert [(r["id"], r["label"]) for r in rows.orderBy("position").collect()] == [(1, 1), (2, 1), (3, 1), (4, None)]
     assert rejects.count() == 0
+
+
+def test_arrays_end_where_their_bracket_closes_at_any_depth(spark):
+    import random
+
+    from plumbline.functions import payloads
+
+    def brute(text):
+        start = at = text.find("[")
+        depth, quoted = 0, False
+        while 0 <= at < len(text):
+            c = text[at]
+            if quoted:
+                at += c == "\\"
+                quoted = c != '"'
+            elif c == '"':
+                quoted = True
+            elif c in "[]":
+                depth += 1 if c == "[" else -1
+                if depth == 0:
+                    return text[start : at + 1]
+            at += 1
+        return ""
+
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choice(["[", "]", '"', "\\", "a", "{", "\u00e9", "\n", ","]) for _ in range(rnd.randint(0, 25))) for _ in range(2000)]
+    texts += ["so " + "[" * 50 + "1" + "]" * 50 + " it is", '[ "a]" ]]', ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", payloads.payload_array(F.col("t")).alias("p")).collect()
+    assert [r["p"] for r in rows] == [brute(r["t"]) for r in rows]
+    deep = '[{"id": 1, "label": 1, "evidence": "e", "confidence": "high", "more": ' + "[" * 40 + "]" * 40 + "}]"
+    found = spark.createDataFrame([(deep,), (None,)], "t string").select(payloads.proposals_in(F.col("t")).alias("p")).collect()
+    assert [p["id"] for p in found[0]["p"]] == [1] and found[1]["p"] is None
