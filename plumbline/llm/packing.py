@@ -31,7 +31,7 @@ SEQUENCE_BITS = 33
 OTHER_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-#: What a tokenizer's file says if texts can be read word by word, and how it writes a space.
+#: What a tokenizer's file says if texts can be read word by word, and how it writes space and line feed.
 WORDWISE = {
     "normalizer": None,
     "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
@@ -39,7 +39,7 @@ WORDWISE = {
     "padding": None,
 }
 WORDWISE_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "byte_fallback": False}
-SPACE_LETTER = "\u0120"
+SEPARATORS = {" ": "\u0120", "\n": "\u010a"}
 
 
 class Encoder:
@@ -66,8 +66,10 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = ["  ", "\n\n", " \n", "\n ", *OTHER_SPACE, *special]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
-        self.opens[[i for token, i in vocabulary.items() if token[:1] == SPACE_LETTER]] = True
+        self.opens = {}  # by separator: the tokens that begin with it
+        for mark, letter in SEPARATORS.items():
+            self.opens[mark] = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.opens[mark][[i for token, i in vocabulary.items() if token[:1] == letter]] = True
         self.kept, self.ids = kept, {}
         self.ends = {x: self._encode([x])[0] for x in ",."}
 
@@ -75,35 +77,36 @@ class Encoder:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in done]
 
-    def _spelt(self, words: list[str]) -> list[bytes]:
-        """The ids of words of letters, each behind a space: they are read in rows, and cut where a token opens with one."""
+    def _spelt(self, words: list[str], mark: str) -> list[bytes]:
+        """The ids of words, each behind a separator: they are read in rows, and cut where a token opens with it."""
         out: list[bytes] = []
         rows = [words[i : i + 1024] for i in range(0, len(words), 1024)]
-        for row, ids in zip(rows, self._encode([" " + " ".join(row) for row in rows])):
-            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")])).tolist()
+        for row, ids in zip(rows, self._encode([mark + mark.join(row) for row in rows])):
+            cuts = (4 * np.flatnonzero(self.opens[mark][np.frombuffer(ids, "<u4")])).tolist()
             if len(cuts) != len(row):
-                raise ValueError("a token reaches over a space")
+                raise ValueError("a token reaches over a separator")
             out += [ids[a:b] for a, b in zip(cuts, [*cuts[1:], len(ids)])]
         return out
 
     def _learn(self, words: set[str]) -> None:
         """Keep the ids of new words."""
         ends, known = self.ends, self.ids
-        odd, closed = [], []
+        closed, lines, ends_of_text = [], [], []
         bare = set()
         for word in words:
-            if word.isalpha():
-                bare.add(word)
-            elif word[-1:] in ends and word[:-1].isalpha():
+            if word[-1:] in ends and word[:-1].isalpha():
                 closed.append(word)
                 if word[:-1] not in known:
                     bare.add(word[:-1])
+            elif word[:1] != "\n":
+                bare.add(word)
             else:
-                odd.append(word)
+                (lines if len(word) > 1 else ends_of_text).append(word)
         spelt = list(bare)
-        known.update(zip(spelt, self._spelt(spelt)))
+        known.update(zip(spelt, self._spelt(spelt, " ")))
+        known.update(zip(lines, self._spelt([w[1:] for w in lines], "\n")))
+        known.update(zip(ends_of_text, self._encode(ends_of_text)))
         known.update((word, known[word[:-1]] + ends[word[-1]]) for word in closed)
-        known.update(zip(odd, self._encode([w if w[:1] == "\n" else " " + w for w in odd])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
