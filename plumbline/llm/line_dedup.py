@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.llm.columns import set_aside
 from plumbline.storage import checkpointed, run_folder
 
 #: A passage goes if it has so many words and several lines, or so many words in one line.
@@ -212,7 +213,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     `removed_words` is replaced. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    source = docs.drop(REMOVED).withColumnsRenamed({doc_id: "doc_id", text: "text"})
+    own = {"doc_id": doc_id, "text": text}
+    aside, back = set_aside(docs.drop(REMOVED), [TODO, *(name for name, given in own.items() if given != name)])
+    source = aside.withColumnsRenamed({given: name for name, given in own.items()})
     folder = run_folder(spark, "lines")
     occurrences(source).write.parquet(f"{folder}/chunks.parquet")
     repeated_runs(spark.read.parquet(f"{folder}/chunks.parquet")).write.parquet(f"{folder}/runs.parquet")
@@ -243,7 +246,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*names, REMOVED])
 
     done = joined.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(REMOVED, T.LongType())]))
-    return done.withColumnsRenamed({"doc_id": doc_id, "text": text})
+    return done.withColumnsRenamed(own).withColumnsRenamed(back)
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

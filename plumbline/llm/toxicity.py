@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.llm.columns import set_aside
 from plumbline.llm.sampling import smallest_hashes
 from plumbline.storage import checkpointed
 
@@ -385,11 +386,16 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose score is below the threshold, with all their columns; nothing is shuffled."""
+    """The documents whose score is below the threshold, with all their columns; nothing is shuffled.
+
+    Null and empty texts have the lowest margin and stay; repeated rows stay or go together; an empty table gives no rows. Without
+    labels of both classes all stay.
+    """
     model = fit(docs, labels)
     if model is None:
         return docs
-    return measured(docs, model).where(curve(model) < threshold).drop(MEASURES)
+    aside, back = set_aside(docs, [MEASURES])
+    return measured(aside, model).where(curve(model) < threshold).drop(MEASURES).withColumnsRenamed(back)
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
