@@ -53,8 +53,11 @@ def explode_proposals(replies: DataFrame, reply: str, carry: list[str]) -> tuple
 
 
 def attach_proposals(batch: DataFrame, proposals: DataFrame, key: str, model: str) -> tuple[DataFrame, DataFrame]:
-    """Pre-labelled rows in the published layout, and the rows to ask for again."""
-    matched, missing = proposal_match(batch, proposals, key)
+    """Pre-labelled rows in the published layout, and the rows to ask for again.
+
+    A proposal whose label is no number or is missing answers nothing: its row is asked for again.
+    """
+    matched, missing = proposal_match(batch, proposals.filter(F.col("label").isNotNull()), key)
     quote = F.coalesce("evidence", F.lit(""))
     labelled = matched.select(
         *batch.columns,

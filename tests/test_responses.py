@@ -199,3 +199,13 @@ def test_arrays_end_where_their_bracket_closes_at_any_depth(spark):
     deep = '[{"id": 1, "label": 1, "evidence": "e", "confidence": "high", "more": ' + "[" * 40 + "]" * 40 + "}]"
     found = spark.createDataFrame([(deep,), (None,)], "t string").select(payloads.proposals_in(F.col("t")).alias("p")).collect()
     assert [p["id"] for p in found[0]["p"]] == [1] and found[1]["p"] is None
+
+
+def test_a_proposal_without_a_usable_label_is_asked_for_again(spark):
+    batch = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "complaint_id long, narrative string")
+    reply = '[{"id": 1, "label": 1, "evidence": "one"}, {"id": 2, "label": "perhaps", "evidence": "two"}, {"id": 3, "evidence": "three"}]'
+    rows, _ = responses.explode_proposals(spark.createDataFrame([(0, reply)], "batch int, r string"), "r", ["batch"])
+    assert rows.count() == 3
+    labelled, missing = responses.attach_proposals(batch, rows.drop("batch"), "complaint_id", "m")
+    assert [(r["complaint_id"], r["proposed_label"]) for r in labelled.collect()] == [(1, 1)]
+    assert sorted(r["complaint_id"] for r in missing.collect()) == [2, 3]
