@@ -47,3 +47,14 @@ def padded(rationale: Column, filler: str) -> Column:
 def snapshot_suffix(since: str | None, until: str | None) -> str:
     """Name suffix of a bounded extract, dates without dashes."""
     return f"{since or 'start'}_{until or 'now'}".replace("-", "")
+
+
+def window_suffix(since: Column, until: Column) -> Column:
+    """`snapshot_suffix` of two columns of dates; a missing date is an open end."""
+    ends = (F.coalesce(c.cast("string"), F.lit(name)) for c, name in ((since, "start"), (until, "now")))
+    return F.replace(F.concat_ws("_", *ends), F.lit("-"), F.lit(""))
+
+
+def or_empty(value: Column) -> Column:
+    """The value as text, '' where it is missing."""
+    return F.coalesce(value.cast("string"), F.lit(""))

@@ -15,7 +15,7 @@ from plumbline.functions.payloads import (
     text_at,
     truthy,
 )
-from plumbline.functions.text import is_verbatim, loose_match
+from plumbline.functions.text import is_verbatim, loose_match, or_empty
 from plumbline.operators.joins import anti_join_todo, in_vocabulary, paired_condition_join, proposal_match
 from plumbline.operators.sampling import batch_assign
 from plumbline.operators.usage import duration_stats, paired_delta_stats
@@ -58,12 +58,12 @@ def attach_proposals(batch: DataFrame, proposals: DataFrame, key: str, model: st
     A proposal whose label is no number or is missing answers nothing: its row is asked for again.
     """
     matched, missing = proposal_match(batch, proposals.filter(F.col("label").isNotNull()), key)
-    quote = F.coalesce("evidence", F.lit(""))
+    quote = or_empty(F.col("evidence"))
     labelled = matched.select(
         *batch.columns,
         F.col("label").cast("int").alias("proposed_label"),
         quote.alias("evidence_quote"),
-        F.coalesce("confidence", F.lit("")).alias("confidence"),
+        or_empty(F.col("confidence")).alias("confidence"),
         is_verbatim(quote, F.col("narrative")).alias("evidence_verbatim"),
         F.lit(model).alias("labeler_model"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from plumbline.plans import (  # noqa: F401
+    function_queries,
     ingest_queries,
     metric_queries,
     model_queries,
