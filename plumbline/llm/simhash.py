@@ -208,6 +208,7 @@ def gray_join(fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000) -
 def _node_links(batches: Iterator[pa.RecordBatch], distance: int = DISTANCE) -> Iterator[pa.RecordBatch]:
     """Rows sorted by node and Gray rank; a node that goes on in the next batch waits for it."""
     held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+    chunk = 100_000 if distance == DISTANCE else 10_000  # wide searches prune little, so a chunk grows to 64 times its pairs
 
     def linked(node, pattern, fps):
         cut = np.flatnonzero((node[1:] != node[:-1]) | (pattern[1:] != pattern[:-1])) + 1
@@ -215,7 +216,7 @@ def _node_links(batches: Iterator[pa.RecordBatch], distance: int = DISTANCE) ->
         ends = np.append(cut, len(fps))
         a, b = [], []
         for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-            for x, y in gray_join(fps[s:e], distance):
+            for x, y in gray_join(fps[s:e], distance, chunk):
                 a.append(s + x), b.append(s + y)
         return pa.RecordBatch.from_arrays(
             [pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], ["a", "b"]
