@@ -80,3 +80,15 @@ def test_more_windows_when_one_would_overflow():
     assert packing.fill([], 10) == []
     with pytest.raises(ValueError):
         packing.fill([11], 10)
+
+
+def test_other_kinds_of_tokenizers_read_whole_texts(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    some = [t or "" for t in list(texts.values())[:60]] + ["", " A  b\n\nC ", "it's 12,5"]
+    encode, tokenizer = packing.Encoder(path), Tokenizer.from_file(path)
+    assert not encode.by_words and packing.Encoder(PATH).by_words
+    for text, ids in zip(some, encode(some)):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
