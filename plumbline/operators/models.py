@@ -30,7 +30,8 @@ from plumbline.storage import checkpointed, name_checkpoints
 
 Result = TypeVar("Result")
 
-# Training rows per partition. A fit is a long series of jobs over cached rows; many tiny parts only add scheduling.
+#: Training rows per partition. A fit is a long series of jobs over cached rows; many tiny parts only add scheduling.
+TRAIN_ROWS = 25_000
 
 
 def for_each_fold(spark: SparkSession, k: int, fit: Callable[[int], Result]) -> list[Result]:
@@ -246,7 +247,11 @@ class TreeParams:
 
 
 def fit_gbt_churn(df: DataFrame, label: str, params: TreeParams = TreeParams()) -> GBTClassificationModel:
-    """Boosted trees with a positive row weighing as much as the negatives per positive."""
+    """Boosted trees with a positive row weighing as much as the negatives per positive.
+
+    A level of a tree is a job, so the rows are put into as few partitions as `TRAIN_ROWS` asks for, whatever the number of
+    shuffle partitions; no row moves through a shuffle. Spark draws the rows of a tree by partition.
+    """
     counts = df.agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("rate")).first()
     positive = F.lit((1 - counts["rate"]) / counts["rate"])
     weighted = df.withColumn("weight", F.when(F.col(label) == 1, positive).otherwise(1.0))
@@ -263,7 +268,7 @@ def fit_gbt_churn(df: DataFrame, label: str, params: TreeParams = TreeParams())
         checkpointInterval=10,
     )
     name_checkpoints(df.sparkSession)  # else the lineage grows with the trees
-    return estimator.fit(weighted)
+    return estimator.fit(weighted.coalesce(max(1, -(-counts["n"] // TRAIN_ROWS))))
 
 
 def gbt_scores(model: GBTClassificationModel, df: DataFrame, key: str, label: str) -> DataFrame:

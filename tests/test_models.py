@@ -118,3 +118,17 @@ def test_trees_beat_the_majority_class(spark):
     assert lift["trees"]["roc_auc"] > 0.95 and lift["majority_class"]["roc_auc"] == 0.5
     assert lift["majority_class"]["pr_auc"] == pytest.approx(0.4)
     assert models.feature_importance_top(model, rows, roles.features()).first()["feature"] == "tenure"
+
+
+def test_trees_are_fitted_on_partitions_by_rows(spark, monkeypatch):
+    seen = []
+    fit = models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    rows = models.VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.range(90).select(F.col("id"), (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 < 4).cast("int").alias("y"))
+    ).repartition(40)
+    params = models.TreeParams(trees=2)
+    assert models.gbt_scores(models.fit_gbt_churn(rows, "y", params), rows, "id", "y").filter("predicted_label = y").count() == 90
+    monkeypatch.setattr(models, "TRAIN_ROWS", 20)
+    models.fit_gbt_churn(rows, "y", params)
+    assert seen == [1, 5]
