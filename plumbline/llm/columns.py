@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+#: Texts that a worker holds as Python objects at a time.
+TEXTS = 256
+
 
 def set_aside(df: DataFrame, reserved: list[str]) -> tuple[DataFrame, dict[str, str]]:
     """df with columns of reserved names under free ones, and the names to give back afterwards (`withColumnsRenamed`).
@@ -21,3 +27,10 @@ def set_aside(df: DataFrame, reserved: list[str]) -> tuple[DataFrame, dict[str,
             taken.add(free.lower())
             there[column] = free
     return df.withColumnsRenamed(there), {free: column for column, free in there.items()}
+
+
+def parts_of(batches: Iterator[pa.RecordBatch], rows: int = TEXTS) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most `rows`; a worker's lists and strings are those of one of them."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)

@@ -12,8 +12,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.columns import parts_of
 from plumbline.llm.graph import components, landed
-from plumbline.llm.simhash import DISTANCE, SEED, bit_counts, fold_bits, links
+from plumbline.llm.simhash import DISTANCE, SEED, bit_counts, fold_bits, links, pairs_between
 from plumbline.storage import run_folder
 
 #: Two texts are near copies if their shingles of so many words have this Jaccard index or more.
@@ -74,7 +75,7 @@ def _similar(edges: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     kind = docs.schema["doc"].dataType.simpleString()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             found = [shingle_hashes(t, shingle).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc", "shingles"])
 
@@ -84,12 +85,16 @@ def _similar(edges: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     right = some.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             near = [jaccard(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= similarity for x, y in pairs]
             yield batch.filter(pa.array(near, pa.bool_())).select([0, 1])
 
-    both = edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+    # Sets of sizes further apart than the threshold can't be that similar; two empty ones are equal.
+    size = some.select("doc", F.octet_length("shingles").alias("size"))
+    sized = edges.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
+    sized = sized.where(F.least("na", "nb") >= F.greatest("na", "nb") * (similarity - 1e-9)).select("a", "b")
+    both = sized.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
     return landed(both.mapInArrow(judge, f"a {kind}, b {kind}"), f"{path}/similar.parquet")
 
 
@@ -105,9 +110,9 @@ def one_of_each(
     """The documents without those that are near copies of one with a smaller id, with all their columns.
 
     Texts with the same words are linked at once. Fingerprints with at most two differing bits are linked next, and the first documents
-    of these groups at up to `distance` bits, so that a large group of near copies costs the wide search one entry. A link
-    counts only if the texts' shingles have a Jaccard index of `similarity` or more; links leave the index as a spanning
-    forest, so a group may be parted where the forest has a link that fails. Of connected documents the smallest id
+    of these groups at up to `distance` bits, so that most of a large group of near copies is one class before all texts are
+    searched: the last search takes every pair of different texts in different classes at up to `distance` bits. A link
+    counts only if the texts' shingles have a Jaccard index of `similarity` or more. Of connected documents the smallest id
     stays.
 
     Ids are whole numbers. Rows with one id stay or go together, by the smallest digest of their texts; rows with a null id stay. Null and
@@ -135,7 +140,16 @@ def one_of_each(
         heads = landed(firsts.join(inner, "first", "left_anti"), f"{path}/heads.parquet")
         wide = landed(linked(heads, distance, "wide"), f"{path}/wide.parquet")
         edges = close.unionByName(_similar(wide, named, shingle, similarity, f"{path}/wide-checked"))
-    parts = landed(components(edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b"))), f"{path}/parts.parquet")
+    # The links so far are a spanning forest of the candidates, which has gaps where one of its links failed.
+    edges = edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b"))
+    known = landed(components(edges), f"{path}/known.parquet")
+    entries = texts.select("fp", F.col("first").cast("bigint").alias("doc")).join(known.withColumnRenamed("node", "doc"), "doc", "left")
+    entries = landed(entries.select("fp", "doc", F.coalesce("root", "doc").alias("class")), f"{path}/entries.parquet")
+    kind = docs.schema[doc_id].dataType
+    rest = landed(pairs_between(entries, distance=distance), f"{path}/rest.parquet")
+    rest = _similar(rest.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b")), named, shingle, similarity, f"{path}/rest-checked")
+    edges = edges.unionByName(rest.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")))
+    parts = landed(components(edges), f"{path}/parts.parquet")
     least = parts.groupBy("root").agg(F.min("node").alias("stays"))
     gone_texts = parts.join(least, "root").where("node <> stays").select(F.col("node").alias("first"))
     copies = one.join(texts.select("mark", "first"), "mark").select("doc", "first")

@@ -164,15 +164,18 @@ class Forest:
                 self.links.append((x, y))
 
 
-def gray_join(fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000) -> list[tuple[int, int]]:
-    """Positions of linked fingerprints, as a spanning forest of the links; `fps` are in Gray order.
+def near_pairs(
+    fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000, classes: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of linked fingerprints, all pairs, some at a time; `fps` are in Gray order. Pairs inside a class are left out.
 
     Eight neighbours share a node one level up, which holds the bits on which all of them agree. Two nodes that differ
-    in more than `distance` of their common agreed bits have no links below them, so the whole pair of groups goes.
+    in more than `distance` of their common agreed bits have no links below them, so the whole pair of groups goes; so
+    does a pair of nodes that have one class only.
     """
-    forest = Forest(len(fps))
     full = np.uint64(2**BITS - 1)
     levels = [(fps, np.full(len(fps), full))]
+    ends = [(classes, classes)]
     while len(levels[-1][0]) > FAN:
         bits, masks = levels[-1]
         starts = np.arange(0, len(bits), FAN)
@@ -180,6 +183,8 @@ def gray_join(fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000) -
         differs = np.bitwise_or.reduceat((bits ^ first) & masks, starts)
         masks = np.bitwise_and.reduceat(masks, starts) & ~differs
         levels.append((bits[starts] & masks, masks))
+        if classes is not None:
+            ends.append((np.minimum.reduceat(ends[-1][0], starts), np.maximum.reduceat(ends[-1][1], starts)))
     top = len(levels[-1][0])
     a, b = np.triu_indices(top)
     work = [(len(levels) - 1, a, b)]
@@ -191,10 +196,13 @@ def gray_join(fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000) -
             continue
         bits, masks = levels[level]
         near = np.bitwise_count((bits[a] ^ bits[b]) & masks[a] & masks[b]) <= distance
+        if classes is not None:
+            low, high = ends[level]
+            near &= np.minimum(low[a], low[b]) != np.maximum(high[a], high[b])
         a, b = a[near], b[near]
         if level == 0:
             apart = a != b
-            forest.add(a[apart], b[apart])
+            yield a[apart], b[apart]
             continue
         below = len(levels[level - 1][0])
         left = (a[:, None, None] * FAN + inside[:, None] + 0 * inside).reshape(-1)
@@ -202,13 +210,54 @@ def gray_join(fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000) -
         keep = (left < below) & (right < below) & (left <= right)
         if keep.any():
             work.append((level - 1, left[keep], right[keep]))
+
+
+def gray_join(fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000) -> list[tuple[int, int]]:
+    """Positions of linked fingerprints, as a spanning forest of the links; see `near_pairs`."""
+    forest = Forest(len(fps))
+    for a, b in near_pairs(fps, distance, chunk):
+        forest.add(a, b)
     return forest.links
 
 
+def _chunk(distance: int) -> int:
+    return 100_000 if distance == DISTANCE else 10_000  # wide searches prune little, so a chunk grows to 64 times its pairs
+
+
+def _whole_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns behind node and pattern of each node with two rows or more; rows are sorted by node and pattern.
+
+    A node that goes on in the next batch waits for it.
+    """
+    held: tuple[np.ndarray, ...] | None = None
+    for batch in batches:
+        rows = (np.array(batch.column(0).to_pylist(), dtype=object), *(c.to_numpy() for c in batch.columns[1:]))
+        if held is not None:
+            rows = tuple(np.concatenate(x) for x in zip(held, rows))
+        node, pattern = rows[:2]
+        if not len(node):
+            continue
+        cut = np.flatnonzero((node[1:] != node[:-1]) | (pattern[1:] != pattern[:-1])) + 1
+        for s, e in zip([0, *cut.tolist()], cut.tolist()):
+            if e - s > 1:
+                yield tuple(x[s:e] for x in rows[2:])
+        held = tuple(x[cut[-1] if len(cut) else 0 :] for x in rows)
+    if held is not None and len(held[0]) > 1:
+        yield held[2:]
+
+
+def _node_pairs(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+    """(a, b): all pairs of documents of different classes in one node, by (path, pattern, fp, doc, class)."""
+    for fps, docs, classes in _whole_nodes(batches):
+        for a, b in near_pairs(fps.view(np.uint64), distance, _chunk(distance), classes):
+            x, y = docs[a], docs[b]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
 def _node_links(batches: Iterator[pa.RecordBatch], distance: int = DISTANCE) -> Iterator[pa.RecordBatch]:
     """Rows sorted by node and Gray rank; a node that goes on in the next batch waits for it."""
     held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
-    chunk = 100_000 if distance == DISTANCE else 10_000  # wide searches prune little, so a chunk grows to 64 times its pairs
+    chunk = _chunk(distance)
 
     def linked(node, pattern, fps):
         cut = np.flatnonzero((node[1:] != node[:-1]) | (pattern[1:] != pattern[:-1])) + 1
@@ -242,14 +291,15 @@ def _node_links(batches: Iterator[pa.RecordBatch], distance: int = DISTANCE) ->
         yield out
 
 
-def links(fps: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE) -> DataFrame:
-    """Distinct fingerprints (fp) to links (a, b) that connect all pairs with at most `distance` differing bits.
+def _in_nodes(fps: DataFrame, node_rows: int, distance: int) -> DataFrame:
+    """(path, pattern, fp and the other columns of fps) sorted by node and Gray rank, each node in one task.
 
     Three masks of about 21 bits are the top nodes. Nodes with more than `node_rows` members are split by masks over
     their free bits, three children each, until they fit or few bits are free; so no task gathers more than that of one
-    node, and no link is lost. Inside a node the members are in Gray order and joined by `gray_join`.
+    node, and no link is lost.
     """
-    placed = fps.select(F.lit("").alias("path"), F.col("fp"))
+    own_columns = ["fp", *(c for c in fps.columns if c != "fp")]
+    placed = fps.select(F.lit("").alias("path"), *own_columns)
     kept = []
     masks = node_masks(distance)
     for depth, level in enumerate(masks):
@@ -260,7 +310,7 @@ def links(fps: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE)
                 for p, m in rows
             ))
             child = own if path == "" else F.when(F.col("path") == path, own).otherwise(child)
-        nodes = placed.select(F.explode(child).alias("n"), "fp").select("n.path", "n.pattern", "fp")
+        nodes = placed.select(F.explode(child).alias("n"), *own_columns).select("n.path", "n.pattern", *own_columns)
         if depth == len(masks) - 1:
             kept.append(nodes)
             break
@@ -269,12 +319,26 @@ def links(fps: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE)
             kept.append(nodes)
             break
         kept.append(nodes.join(full, ["path", "pattern"], "left_anti"))
-        placed = checkpointed(nodes.join(full, ["path", "pattern"], "left_semi").select("path", "fp"))
+        placed = checkpointed(nodes.join(full, ["path", "pattern"], "left_semi").select("path", *own_columns))
     nodes = kept[0]
     for more in kept[1:]:
         nodes = nodes.union(more)
     ordered = nodes.repartition("path", "pattern").sortWithinPartitions("path", "pattern", gray_rank(F.col("fp")))
-    return ordered.select("path", "pattern", "fp").mapInArrow(lambda batches: _node_links(batches, distance), "a bigint, b bigint")
+    return ordered.select("path", "pattern", *own_columns)
+
+
+def links(fps: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE) -> DataFrame:
+    """Distinct fingerprints (fp) to links (a, b) that connect all pairs with at most `distance` differing bits.
+
+    Inside a node (see `_in_nodes`) the members are in Gray order and joined by `gray_join`.
+    """
+    return _in_nodes(fps.select("fp"), node_rows, distance).mapInArrow(lambda batches: _node_links(batches, distance), "a bigint, b bigint")
+
+
+def pairs_between(texts: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE) -> DataFrame:
+    """(fp, doc, class), all longs, to each pair (a, b) of documents of different classes with at most `distance` differing bits."""
+    nodes = _in_nodes(texts.select("fp", "doc", "class"), node_rows, distance)
+    return nodes.mapInArrow(lambda batches: _node_pairs(batches, distance), "a bigint, b bigint").distinct()
 
 
 # ---- operator ----

@@ -71,3 +71,16 @@ def test_odd_documents(spark, odd, none):
     kept = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in near_texts.one_of_each(odd).collect())
     assert kept == [(False, 1), (False, 4), (False, 4), (False, 5), (True, 0)]  # 2 and 3 are empty like 1; 6 is a copy of 4
     assert near_texts.one_of_each(none).count() == 0
+
+
+def test_links_are_kept_where_the_forest_has_a_link_that_fails(spark):
+    rnd = random.Random(4)
+    rounds = [f"hub a{i} b{i}" for i in range(60)]
+    first = " ".join(rounds + ["hub"])
+    rnd.shuffle(rounds)
+    second = " ".join(rounds + ["hub"])  # the same pairs of words, other passages
+    third = second + " hub"
+    one, two, three = map(near_texts.shingle_hashes, (first, second, third))
+    assert near_texts.jaccard(one, two) < 0.8 <= near_texts.jaccard(two, three)
+    docs = spark.createDataFrame([(1, first), (2, second), (3, third)], "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in near_texts.one_of_each(docs).collect()) == [1, 2]
