@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.columns import set_aside
+from plumbline.llm.columns import parts_of, set_aside
 from plumbline.llm.sampling import smallest_hashes
 from plumbline.storage import checkpointed
 
@@ -129,7 +129,7 @@ def kernel(windows: list[tuple[int, ...]], landmarks: list[tuple[int, ...]]) ->
 
 def score_windows(windows: list[tuple[int, ...]], weights: np.ndarray, bias: float) -> np.ndarray:
     out = np.full(len(windows), FLOOR, np.float32)
-    for at, codes in by_length(windows, 2048):
+    for at, codes in by_length(windows, 512):
         number, weight, size = features(codes)
         out[at] = (weights[number] * weight).sum(1) / size + bias
     return out
@@ -243,10 +243,10 @@ def measured(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(weights.value, bias)
-        for batch in batches:
-            found = scorer(batch.column(len(keep)).to_pylist())
+        for part in parts_of(batches):
+            found = scorer(part.column(len(keep)).to_pylist())
             lists = pa.ListArray.from_arrays(np.arange(0, found.size + 1, TOP + 1, dtype=np.int32), found.ravel())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], [*keep, MEASURES])
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*keep, MEASURES])
 
     schema = T.StructType([*chosen.schema.fields[:-1], T.StructField(MEASURES, T.ArrayType(T.DoubleType()))])
     return chosen.mapInArrow(run, schema)
@@ -277,7 +277,7 @@ def sentence_words(docs: DataFrame) -> DataFrame:
     """(doc_id, text, toxic) to distinct (word, toxic, sentence): a copied sentence counts once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             words, toxic, sentence = [], [], []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for part in _SENTENCE.split(text or ""):

@@ -1,8 +1,9 @@
 """Columns of the caller with names that the operators use inside."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontamination, line_dedup, toxicity
+from plumbline.llm import columns, decontamination, line_dedup, toxicity
 from plumbline.llm.columns import set_aside
 
 
@@ -33,3 +34,10 @@ def test_filters_keep_columns_of_their_own_names(spark, folder, documents):
         row = kept.first()
         assert (row["_measures"], row["_leaks"], row["_leaks_before"]) == ("m", "l", 1)
     assert {r["doc_id"] for r in bare.select("doc_id").collect()} == {r["doc_id"] for r in decontamination.drop_leaking(documents, benchmark).select("doc_id").collect()}
+
+
+def test_batches_are_cut():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10))], ["x"])
+    parts = list(columns.parts_of(iter([batch, batch.slice(0, 0), batch.slice(2, 3)]), 4))
+    assert [p.num_rows for p in parts] == [4, 4, 2, 3]
+    assert [x for p in parts for x in p.column(0).to_pylist()] == [*range(10), 2, 3, 4]
