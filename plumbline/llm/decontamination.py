@@ -12,16 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.columns import set_aside
-from plumbline.llm.sampling import smallest_hashes
-from plumbline.storage import checkpointed
+from plumbline.llm.columns import parts_of, set_aside
+from plumbline.llm.graph import landed
+from plumbline.storage import run_folder
 
 #: Words of a passage when terms are counted and the factors are fitted.
 PASSAGE = 64
 RANK = 48
 OVERSAMPLE = 16
-#: Documents on which the factors are fitted, by hash of the id; all documents are counted and searched.
-FIT_DOCS = 20_000
+#: Texts whose terms are kept in one row for the fit, and words that are searched at a time.
+TOGETHER = 64
+SEARCHED = 8192
+#: Multiplications of a product that numpy does in one thread.
+SMALL = 250_000
 #: Benchmark items that one search holds; more are searched in blocks.
 BLOCK_ITEMS = 2000
 #: Terms in more than this share of the passages carry no weight.
@@ -115,6 +118,12 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a b', some rows at a time: on small products numpy starts no threads, whose waiting costs a task more than they save."""
+    rows = max(1, SMALL // b.size)
+    return np.concatenate([a[i : i + rows] @ b.T for i in range(0, len(a), rows)])
+
+
 @dataclass
 class Space:
     """The place of each term in the factors, as a vector as long as the term is rare; row 0 is no term."""
@@ -123,29 +132,51 @@ class Space:
     load: np.ndarray
 
 
+def kept_terms(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """(ids): the numbers of the terms of all texts, some texts a row, each filled up to whole passages.
+
+    Texts are cut into words once for the fit; what is kept is smaller than the texts.
+    """
+    shared, kind = docs.sparkSession.sparkContext.broadcast(vocabulary), id_type(len(vocabulary))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers(shared.value)
+        for part in parts_of(batches, TOGETHER):
+            found = []
+            for text in part.column(0).to_pylist():
+                ids = numbers.of(text)
+                found += [ids.astype(kind), np.zeros(-len(ids) % PASSAGE, kind)]
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(found).tobytes()], pa.binary())], ["ids"])
+
+    return landed(docs.select("text").mapInArrow(run, "ids binary"), f"{run_folder(docs.sparkSession, 'terms')}/ids.parquet")
+
+
+def id_type(terms: int) -> type:
+    return np.uint16 if terms < 2**16 else np.int32
+
+
 def passage_rows(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, term) of the benchmark terms of a text, cut every `PASSAGE` words."""
+    """(passage, term) of the benchmark terms of texts, cut every `PASSAGE` words."""
     at = np.flatnonzero(ids > 0)
     return at // PASSAGE, ids[at]
 
 
-def count_passages(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
+def count_passages(kept: DataFrame, terms: int) -> tuple[np.ndarray, int]:
     """In how many passages of all documents each term stands, and how many passages there are."""
-    shared, size = docs.sparkSession.sparkContext.broadcast(vocabulary), len(vocabulary) + 1
+    size, kind = terms + 1, id_type(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, counts = Numbers(shared.value), np.zeros(size, np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids = numbers.of(text)
-                passage, term = passage_rows(ids)
-                pairs = np.unique(passage * size + term)
-                counts += np.bincount(pairs % size, minlength=size)
-                counts[0] += -(-len(ids) // PASSAGE)
+        counts = np.zeros(size, np.int64)
+        for part in parts_of(batches, 1):
+            ids = np.frombuffer(part.column(0)[0].as_py(), kind)
+            passage, term = passage_rows(ids)
+            pairs = np.unique(passage * size + term)
+            counts += np.bincount(pairs % size, minlength=size)
+            counts[0] += len(ids) // PASSAGE
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["term", "n"])
 
-    found = docs.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    found = kept.mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     counts = np.zeros(size, np.int64)
     for r in found.collect():  # a row for each term of the block of items
         counts[r["term"]] = r["n"]
@@ -171,57 +202,60 @@ def _sum_matrices(parts: DataFrame) -> DataFrame:
     return parts.repartition("block").mapInArrow(run, parts.schema)
 
 
-def _product(docs: DataFrame, vocabulary: dict[str, int], idf: np.ndarray, right: np.ndarray, gram: bool) -> np.ndarray:
+def _product(kept: DataFrame, idf: np.ndarray, right: np.ndarray, gram: bool) -> np.ndarray:
     """With A the TF-IDF matrix of the passages: A'(A right), or (A right)'(A right) if `gram`."""
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((vocabulary, idf, right))
+    shared = kept.sparkSession.sparkContext.broadcast((idf, right))
     size, rank = right.shape
-    rows = 512
+    kind, rows = id_type(size - 1), 512
+    rows_small = max(1, SMALL // rank**2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, idf, right = shared.value
-        numbers = Numbers(vocabulary)
+        idf, right = shared.value
         scaled = right * idf[:, None]
         total = np.zeros((rank, rank) if gram else (size, rank))
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                passage, term = passage_rows(numbers.of(text))
-                if not len(term):
-                    continue
-                starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
-                sums = np.add.reduceat(scaled[term], starts, axis=0)
-                if gram:
-                    total += sums.T @ sums
-                else:
-                    np.add.at(total, term, sums[np.cumsum(np.r_[False, passage[1:] != passage[:-1]])] * idf[term][:, None])
+        for part in parts_of(batches, 1):
+            passage, term = passage_rows(np.frombuffer(part.column(0)[0].as_py(), kind))
+            weighs = idf[term] > 0
+            passage, term = passage[weighs], term[weighs]
+            if not len(term):
+                continue
+            new = np.r_[True, passage[1:] != passage[:-1]]
+            sums = np.add.reduceat(scaled[term], np.flatnonzero(new), axis=0)
+            if gram:
+                for i in range(0, len(sums), rows_small):
+                    total += sums[i : i + rows_small].T @ sums[i : i + rows_small]
+                continue
+            order = np.argsort(term, kind="stable")
+            term = term[order]
+            starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+            of_term = np.add.reduceat(sums[(np.cumsum(new) - 1)[order]], starts, axis=0)
+            total[term[starts]] += of_term * idf[term[starts]][:, None]
         for block, low in enumerate(range(0, len(total), rows)):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([total[low : low + rows].tobytes()])], ["block", "body"])
 
-    found = _sum_matrices(docs.select("text").mapInArrow(run, "block bigint, body binary")).collect()
+    found = _sum_matrices(kept.mapInArrow(run, "block bigint, body binary")).collect()
     return np.concatenate([np.frombuffer(r["body"]).reshape(-1, rank) for r in sorted(found, key=lambda r: r["block"])])
 
 
-def fit_space(docs: DataFrame, vocabulary: dict[str, int], rank: int = RANK, fit_docs: int = FIT_DOCS, seed: int = 7) -> Space:
-    """Randomised SVD of the TF-IDF passages over the benchmark's terms.
+def fit_space(docs: DataFrame, vocabulary: dict[str, int], rank: int = RANK, seed: int = 7) -> Space:
+    """Randomised SVD of the TF-IDF passages of all documents over the benchmark's terms.
 
-    Term counts come from all documents. The range of the matrix is found from random directions after one power step,
-    both products being sums over the tasks; the factors come from the small matrix in that range.
+    The range of the matrix is found from random directions after one power step, both products being sums over the
+    tasks; the factors come from the small matrix in that range.
     """
-    counts, total = count_passages(docs, vocabulary)
+    kept = kept_terms(docs, vocabulary)
+    counts, total = count_passages(kept, len(vocabulary))
     idf = np.where((counts > 0) & (counts <= max(1, COMMON * total)), np.log((1 + total) / (1 + counts)) + 1, 0.0)
     unseen = counts == 0
     idf[unseen] = np.log(1 + total) + 1
     idf[0] = 0
-    known = docs.select("doc_id").where("doc_id IS NOT NULL")
-    chosen = smallest_hashes(known, "factors", "doc_id", fit_docs, known.count())
-    sample = checkpointed(docs.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi").select("text"))
     size = len(vocabulary) + 1
     wide = min(rank + OVERSAMPLE, size)
     start = np.random.default_rng(seed).standard_normal((size, wide))
-    if sample.isEmpty():
+    if not total:
         return Space(vocabulary, idf[:, None] * start)
-    basis, _ = np.linalg.qr(_product(sample, vocabulary, idf, start, False))
-    values, vectors = np.linalg.eigh(_product(sample, vocabulary, idf, basis, True))
+    basis, _ = np.linalg.qr(_product(kept, idf, start, False))
+    values, vectors = np.linalg.eigh(_product(kept, idf, basis, True))
     values, vectors = values[::-1][:rank], vectors[:, ::-1][:, :rank]
     good = values > 1e-9 * max(values[0], 1e-12)
     if not good.any():
@@ -249,7 +283,7 @@ class Group:
 
 
 class Searcher:
-    """Leaks of a block of items in one text after another.
+    """Leaks of a block of items in texts, whose windows are compared together.
 
     A window is looked at if it has enough of the benchmark's words to hold the paraphrase share of an item of its
     group, which loses nothing; then the cosine of the window and each item is taken in the latent space. Pairs at
@@ -274,20 +308,35 @@ class Searcher:
                 self.groups.append(Group(own, sizes, step, int(sizes.max()) + step, _unit(vectors), blank, member))
             low, high = high, max(high + 1, int(high * GROWTH))
 
-    def __call__(self, text: str | None) -> dict[object, float]:
-        """item_id to the share of its words found in order, for the leaked items."""
-        ids = self.numbers.of(text)
-        found: dict[object, float] = {}
+    def __call__(self, texts: list[str | None]) -> list[dict[object, float]]:
+        """For each text item_id to the share of its words found in order, for the leaked items."""
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append(self.numbers.of(text))
+            size += len(held[-1])
+            if size >= SEARCHED:
+                out += self._search(held)
+                held, size = [], 0
+        return out + self._search(held)
+
+    def _search(self, texts: list[np.ndarray]) -> list[dict[object, float]]:
+        found: list[dict[object, float]] = [{} for _ in texts]
+        ids = np.concatenate([*texts, np.zeros(0, np.int32)])
         inside = np.concatenate([[0], np.cumsum(ids > 0)])
         if not inside[-1]:
             return found
+        sizes = np.array([len(t) for t in texts])
+        stop = np.cumsum(sizes)
         at = np.flatnonzero(self.weighs[ids])
         sums = None
         for g in self.groups:
-            starts = np.arange(0, max(1, len(ids) - g.width + g.step), g.step)
-            ends = np.minimum(starts + g.width, len(ids))
-            keep = inside[ends] - inside[starts] >= np.ceil(PARAPHRASE * g.sizes.min())
-            starts, ends = starts[keep], ends[keep]
+            windows_of = -(-np.maximum(1, sizes - g.width + g.step) // g.step)
+            owner = np.repeat(np.arange(len(texts)), windows_of)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(windows_of) - windows_of, windows_of)
+            starts = (stop - sizes)[owner] + place * g.step
+            ends = np.minimum(starts + g.width, stop[owner])
+            keep = inside[ends] - inside[np.minimum(starts, ends)] >= np.ceil(PARAPHRASE * g.sizes.min())
+            owner, starts, ends = owner[keep], starts[keep], ends[keep]
             if not len(starts):
                 continue
             if sums is None:
@@ -295,22 +344,26 @@ class Searcher:
                 sums[1:] = np.cumsum(self.load[ids[at]], axis=0, dtype=np.float64)
             windows = sums[np.searchsorted(at, ends)] - sums[np.searchsorted(at, starts)]
             length = np.sqrt(np.einsum("ij,ij->i", windows, windows))
-            near = windows @ g.vectors.T >= np.maximum(COSINE * length, 1e-6)[:, None]
+            near = _times(windows, g.vectors) >= np.maximum(COSINE * length, 1e-6)[:, None]
             if g.blank.any():
                 near[:, g.blank] = True
             w, i = np.nonzero(near)
             for low in range(0, len(w), CHUNK):
-                self._compare(g, ids, starts, w[low : low + CHUNK], i[low : low + CHUNK], found)
+                part = w[low : low + CHUNK]
+                own = owner[part]
+                self._compare(g, ids, starts[part], (stop - sizes)[own], stop[own], i[low : low + CHUNK], [found[o] for o in own.tolist()])
         return found
 
-    def _compare(self, g: Group, ids: np.ndarray, starts: np.ndarray, w: np.ndarray, i: np.ndarray, found: dict) -> None:
-        """The windows, a step longer on both sides, that share enough words with the item, in order."""
-        first = starts[w] - g.step
-        places = first[:, None] + np.arange(g.width + 2 * g.step)
-        words = np.where((places >= 0) & (places < len(ids)), ids[np.clip(places, 0, len(ids) - 1)], 0)
+    def _compare(
+        self, g: Group, ids: np.ndarray, starts: np.ndarray, lows: np.ndarray, stops: np.ndarray, i: np.ndarray, founds: list[dict]
+    ) -> None:
+        """The windows, a step longer on both sides inside their texts, that share enough words with the item, in order."""
+        places = (starts - g.step)[:, None] + np.arange(g.width + 2 * g.step)
+        there = (places >= lows[:, None]) & (places < stops[:, None])
+        words = np.where(there, ids[np.clip(places, 0, len(ids) - 1)], 0)
         shared = g.member[i[:, None], words].sum(1)
         for k in np.flatnonzero(shared >= PARAPHRASE * g.sizes[i]).tolist():
-            item, n = g.items[i[k]], int(g.sizes[i[k]])
+            item, n, found = g.items[i[k]], int(g.sizes[i[k]]), founds[k]
             if found.get(item.item_id, 0.0) >= 1.0:
                 continue
             row = words[k].tolist()
@@ -336,8 +389,8 @@ def _searched(docs: DataFrame, items: list[Item], space: Space, keep: list[str])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Searcher(*shared.value)
         form = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())]))
-        for batch in batches:
-            found = [[{"item_id": i, "share": s} for i, s in sorted(search(t).items())] for t in batch.column(len(keep)).to_pylist()]
+        for batch in parts_of(batches):
+            found = [[{"item_id": i, "share": s} for i, s in sorted(x.items())] for x in search(batch.column(len(keep)).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, form)], [*keep, LEAKS])
 
     return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields[:-1], T.StructField(LEAKS, kind)]))

@@ -209,3 +209,44 @@ def test_paraphrases_blocks_and_odd_rows(spark, odd, none):
         assert len(rows) == docs.count() and found[101] == [1] and found[102] == [2] and found[103] == [] and found[5] == []
     assert decontamination.leaks(none, bench).count() == 0
     assert decontamination.drop_leaking(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_factors_come_from_all_documents(spark):
+    texts = [" ".join(f"w{(7 * i + 3 * j * j) % 90}" for j in range(i % 150)) for i in range(300)]
+    vocabulary = {f"w{i}": i + 1 for i in range(60)}
+    docs = spark.createDataFrame([(None if i % 3 else i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(5)
+    rows = []
+    for text in texts:
+        words = text.split()
+        for low in range(0, len(words), decontamination.PASSAGE):
+            row = np.zeros(61)
+            for w in words[low : low + decontamination.PASSAGE]:
+                row[vocabulary.get(w, 0)] += 1
+            rows.append(row)
+    a = np.array(rows)
+    kept = decontamination.kept_terms(docs, vocabulary)
+    counts, total = decontamination.count_passages(kept, 60)
+    assert total == len(a) and (counts[1:] == (a[:, 1:] > 0).sum(0)).all()
+    idf = np.random.default_rng(1).random(61)
+    idf[0] = idf[5] = 0
+    right = np.random.default_rng(2).standard_normal((61, 4))
+    a = a * idf
+    assert np.allclose(decontamination._product(kept, idf, right, False), a.T @ (a @ right))
+    assert np.allclose(decontamination._product(kept, idf, right, True), (a @ right).T @ (a @ right))
+
+
+def test_texts_searched_together_leak_as_alone():
+    rnd = random.Random(8)
+    items, vocabulary = decontamination.read_items([(i, " ".join(f"a{i}{rnd.randrange(9)}" for _ in range(6 + i)), None) for i in range(30)])
+    load = np.random.default_rng(3).standard_normal((len(vocabulary) + 1, 12))
+    load[0] = 0
+    search = decontamination.Searcher(items, decontamination.Space(vocabulary, load))
+    words = list(vocabulary)
+    text_of = {n: w for w, n in vocabulary.items()}
+    texts = [None, "", "x " * 9]
+    for k in range(60):
+        item = items[k % len(items)]
+        part = [text_of[n] for n in item.terms.tolist()]
+        texts += [" ".join(part[: len(part) - k % 4]), " ".join(rnd.choice(words) for _ in range(k)), f"{' '.join(part)} y {' '.join(rnd.choice(words) for _ in range(70))}"]
+    together = search(texts)
+    assert together == [search([t])[0] for t in texts] and sum(map(bool, together)) > 60
