@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.columns import parts_of
 from plumbline.llm.graph import components, landed
-from plumbline.llm.simhash import DISTANCE, SEED, bit_counts, fold_bits, links, pairs_between
+from plumbline.llm.simhash import DISTANCE, SEED, Cost, bit_counts, fold_bits, links, pairs_between
 from plumbline.storage import run_folder
 
 #: Two texts are near copies if their shingles of so many words have this Jaccard index or more.
@@ -23,11 +23,22 @@ SIMILARITY = 0.8
 #: Candidates are fingerprints of shorter shingles, which an edit disturbs less, with at most so many differing bits.
 PRINT_SHINGLE = 2
 PRINT_DISTANCE = 9
+#: A text's shingles are kept in so many bits, each the parity of the shingles that fall on it; a column holds 64 of them.
+SKETCH_BITS = 256
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """A-Z are lowered, words end at ASCII white space."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
 def shingle_hashes(text: str | None, k: int = SHINGLE) -> np.ndarray:
-    """Different shingles of a text by hash, in order; A-Z are lowered, words end at ASCII white space."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    """Different shingles of a text by hash, in order."""
+    return _hashes(words_of(text), k)
+
+
+def _hashes(words: list[bytes], k: int) -> np.ndarray:
     if not words:
         return np.zeros(0, np.uint64)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(k)))) if len(words) >= k else [b" ".join(words)]
@@ -42,9 +53,12 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 def set_fingerprints(texts: list[str | None], k: int = PRINT_SHINGLE) -> np.ndarray:
     """SimHash fingerprints of the different shingles of each text; common ones count once, so they don't make texts alike."""
-    sets = [shingle_hashes(t, k) for t in texts]
+    return _fingerprints([shingle_hashes(t, k) for t in texts])
+
+
+def _fingerprints(sets: list[np.ndarray]) -> np.ndarray:
     sizes = np.array([len(s) for s in sets], np.int64)
-    out = np.zeros(len(texts), np.uint64)
+    out = np.zeros(len(sets), np.uint64)
     full = np.flatnonzero(sizes)
     if len(full):
         starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
@@ -52,21 +66,51 @@ def set_fingerprints(texts: list[str | None], k: int = PRINT_SHINGLE) -> np.ndar
     return out
 
 
-def _prints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc, fp, mark): fingerprint and digest of the lowered words of each text."""
+def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Size of each set of hashes, and its sketch: two sketches differ in no more bits than their sets in elements."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    hashes = np.concatenate([np.zeros(0, np.uint64), *sets])
+    places = np.repeat(np.arange(len(sets)), sizes) * SKETCH_BITS + (hashes % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = (np.bincount(places, minlength=len(sets) * SKETCH_BITS) & 1).astype(np.uint8)
+    return sizes, np.packbits(odd.reshape(len(sets), SKETCH_BITS), axis=1, bitorder="little").view(np.int64)
+
+
+def may_be_near(similarity: float) -> Cost:
+    """Sizes and sketches of texts to the least share of their shingles in which two of them differ; infinite if too large.
+
+    Sets with a Jaccard index of s or more differ in at most (1 - s) / (1 + s) of the sum of their sizes.
+    """
+    most = (1 - similarity) / (1 + similarity) + 1e-9
+
+    def of(sizes: np.ndarray, *sketch: np.ndarray):
+        def cost(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            apart = np.abs(sizes[a] - sizes[b])
+            bits = sum(np.bitwise_count(s[a] ^ s[b]).astype(np.int64) for s in (c.view(np.uint64) for c in sketch))
+            share = np.maximum(apart, bits) / np.maximum(sizes[a] + sizes[b], 1)
+            return np.where(share <= most, share, np.inf)
+
+        return cost
+
+    return of
+
+
+def _prints(docs: DataFrame, print_shingle: int, shingle: int) -> DataFrame:
+    """(doc, fp, mark, size and sketch): fingerprint, digest of the lowered words of each text, its shingles in short."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                texts = part.column(1).to_pylist()
-                marks = [hashlib.blake2b(b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split()), digest_size=16).digest() for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(set_fingerprints(texts, shingle).view(np.int64)), pa.array(marks, pa.binary())], ["doc", "fp", "mark"]
-                )
+        for part in parts_of(batches):
+            words = [words_of(t) for t in part.column(1).to_pylist()]
+            marks = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]
+            fps = _fingerprints([_hashes(w, print_shingle) for w in words])
+            sizes, sketch = sketches([_hashes(w, shingle) for w in words])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(fps.view(np.int64)), pa.array(marks, pa.binary()), pa.array(sizes), *map(pa.array, np.ascontiguousarray(sketch.T))],
+                ["doc", "fp", "mark", "size", *SKETCH],
+            )
 
     kind = docs.schema["doc"].dataType.simpleString()
-    return docs.select("doc", "text").mapInArrow(run, f"doc {kind}, fp bigint, mark binary")
+    short = ", ".join(f"{c} bigint" for c in ("size", *SKETCH))
+    return docs.select("doc", "text").mapInArrow(run, f"doc {kind}, fp bigint, mark binary, {short}")
 
 
 def _similar(edges: DataFrame, docs: DataFrame, shingle: int, similarity: float, path: str) -> DataFrame:
@@ -112,22 +156,25 @@ def one_of_each(
     Texts with the same words are linked at once. Fingerprints with at most two differing bits are linked next, and the first documents
     of these groups at up to `distance` bits, so that most of a large group of near copies is one class before all texts are
     searched: the last search takes every pair of different texts in different classes at up to `distance` bits. A link
-    counts only if the texts' shingles have a Jaccard index of `similarity` or more. Of connected documents the smallest id
-    stays.
+    counts only if the texts' shingles have a Jaccard index of `similarity` or more; pairs whose sizes and sketches show that they
+    can't reach it (`may_be_near`) are never made. Of connected documents the smallest id stays.
 
     Ids are whole numbers. Rows with one id stay or go together, by the smallest digest of their texts; rows with a null id stay. Null and
     empty texts are copies of each other. An empty table gives no rows.
     """
     path = run_folder(docs.sparkSession, "near")
     named = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc IS NOT NULL")
-    prints = landed(_prints(named, print_shingle), f"{path}/prints.parquet")
-    one = prints.groupBy("doc").agg(F.min(F.struct("mark", "fp")).alias("x")).select("doc", "x.mark", "x.fp")
-    texts = landed(one.groupBy("mark").agg(F.min("doc").alias("first"), F.min("fp").alias("fp")), f"{path}/texts.parquet")
-    firsts = landed(texts.groupBy("fp").agg(F.min("first").alias("first")), f"{path}/firsts.parquet")
-    same = texts.join(firsts.withColumnRenamed("first", "b"), "fp").where("first <> b").select(F.col("first").alias("a"), "b")
+    prints = landed(_prints(named, print_shingle, shingle), f"{path}/prints.parquet")
+    short = ["size", *SKETCH]
+    one = prints.groupBy("doc").agg(F.min(F.struct("mark", "fp", *short)).alias("x")).select("doc", "x.*")
+    texts = one.groupBy("mark").agg(F.min(F.struct(F.col("doc").alias("first"), "fp", *short)).alias("x")).select("mark", "x.*")
+    texts = landed(texts, f"{path}/texts.parquet")
+    firsts = landed(texts.groupBy("fp").agg(F.min(F.struct("first", *short)).alias("x")).select("fp", "x.*"), f"{path}/firsts.parquet")
+    same = texts.join(firsts.select("fp", F.col("first").alias("b")), "fp").where("first <> b").select(F.col("first").alias("a"), "b")
+    cost = may_be_near(similarity)
 
     def linked(fps: DataFrame, bits: int, name: str) -> DataFrame:
-        found = landed(links(fps.select("fp"), distance=bits), f"{path}/links-{name}.parquet")
+        found = landed(links(fps.select("fp", *short), distance=bits, cost=cost), f"{path}/links-{name}.parquet")
         ends = found.join(fps.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(fps.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
         return ends.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
@@ -143,10 +190,10 @@ def one_of_each(
     # The links so far are a spanning forest of the candidates, which has gaps where one of its links failed.
     edges = edges.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b"))
     known = landed(components(edges), f"{path}/known.parquet")
-    entries = texts.select("fp", F.col("first").cast("bigint").alias("doc")).join(known.withColumnRenamed("node", "doc"), "doc", "left")
-    entries = landed(entries.select("fp", "doc", F.coalesce("root", "doc").alias("class")), f"{path}/entries.parquet")
+    entries = texts.select("fp", F.col("first").cast("bigint").alias("doc"), *short).join(known.withColumnRenamed("node", "doc"), "doc", "left")
+    entries = landed(entries.select("fp", "doc", F.coalesce("root", "doc").alias("class"), *short), f"{path}/entries.parquet")
     kind = docs.schema[doc_id].dataType
-    rest = landed(pairs_between(entries, distance=distance), f"{path}/rest.parquet")
+    rest = landed(pairs_between(entries, distance=distance, cost=cost), f"{path}/rest.parquet")
     rest = _similar(rest.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b")), named, shingle, similarity, f"{path}/rest-checked")
     edges = edges.unionByName(rest.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b")))
     parts = landed(components(edges), f"{path}/parts.parquet")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -25,6 +25,8 @@ NODE_ROWS = 4096
 LEVELS = ((22, 21, 21), (14, 14, 14), (9, 9, 10), (6, 6, 6))
 FAN = 8
 ONES = np.uint64(0x0101010101010101)
+#: The further columns of a node to a cost of pairs of its positions; a pair with an infinite cost is none.
+Cost = Callable[..., np.ndarray]
 
 
 # ---- fingerprints ----
@@ -165,13 +167,18 @@ class Forest:
 
 
 def near_pairs(
-    fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000, classes: np.ndarray | None = None
+    fps: np.ndarray,
+    distance: int = DISTANCE,
+    chunk: int = 100_000,
+    classes: np.ndarray | None = None,
+    cost: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of linked fingerprints, all pairs, some at a time; `fps` are in Gray order. Pairs inside a class are left out.
 
     Eight neighbours share a node one level up, which holds the bits on which all of them agree. Two nodes that differ
     in more than `distance` of their common agreed bits have no links below them, so the whole pair of groups goes; so
-    does a pair of nodes that have one class only.
+    does a pair of nodes that have one class only. With a cost, pairs of infinite cost are left out and the cheapest of those
+    yielded together come first.
     """
     full = np.uint64(2**BITS - 1)
     levels = [(fps, np.full(len(fps), full))]
@@ -202,7 +209,12 @@ def near_pairs(
         a, b = a[near], b[near]
         if level == 0:
             apart = a != b
-            yield a[apart], b[apart]
+            a, b = a[apart], b[apart]
+            if cost is not None:
+                price = cost(a, b)
+                order = np.argsort(price, kind="stable")[: np.count_nonzero(np.isfinite(price))]
+                a, b = a[order], b[order]
+            yield a, b
             continue
         below = len(levels[level - 1][0])
         left = (a[:, None, None] * FAN + inside[:, None] + 0 * inside).reshape(-1)
@@ -212,10 +224,15 @@ def near_pairs(
             work.append((level - 1, left[keep], right[keep]))
 
 
-def gray_join(fps: np.ndarray, distance: int = DISTANCE, chunk: int = 100_000) -> list[tuple[int, int]]:
+def gray_join(
+    fps: np.ndarray,
+    distance: int = DISTANCE,
+    chunk: int = 100_000,
+    cost: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+) -> list[tuple[int, int]]:
     """Positions of linked fingerprints, as a spanning forest of the links; see `near_pairs`."""
     forest = Forest(len(fps))
-    for a, b in near_pairs(fps, distance, chunk):
+    for a, b in near_pairs(fps, distance, chunk, cost=cost):
         forest.add(a, b)
     return forest.links
 
@@ -246,26 +263,28 @@ def _whole_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray
         yield held[2:]
 
 
-def _node_pairs(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """(a, b): all pairs of documents of different classes in one node, by (path, pattern, fp, doc, class)."""
-    for fps, docs, classes in _whole_nodes(batches):
-        for a, b in near_pairs(fps.view(np.uint64), distance, _chunk(distance), classes):
+def _node_pairs(batches: Iterator[pa.RecordBatch], distance: int, cost: Cost | None = None) -> Iterator[pa.RecordBatch]:
+    """(a, b): all pairs of documents of different classes in one node, by (path, pattern, fp, doc, class, what the cost takes)."""
+    for fps, docs, classes, *more in _whole_nodes(batches):
+        for a, b in near_pairs(fps.view(np.uint64), distance, _chunk(distance), classes, cost and cost(*more)):
+            if not len(a):
+                continue
             x, y = docs[a], docs[b]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
 
-def _node_links(batches: Iterator[pa.RecordBatch], distance: int = DISTANCE) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by node and Gray rank; a node that goes on in the next batch waits for it."""
-    held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+def _node_links(batches: Iterator[pa.RecordBatch], distance: int = DISTANCE, cost: Cost | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows (path, pattern, fp, what the cost takes) sorted by node and Gray rank; a node that goes on in the next batch waits for it."""
+    held: tuple[np.ndarray, ...] | None = None
     chunk = _chunk(distance)
 
-    def linked(node, pattern, fps):
+    def linked(node, pattern, fps, *more):
         cut = np.flatnonzero((node[1:] != node[:-1]) | (pattern[1:] != pattern[:-1])) + 1
         starts = np.concatenate([[0], cut])
         ends = np.append(cut, len(fps))
         a, b = [], []
         for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-            for x, y in gray_join(fps[s:e], distance, chunk):
+            for x, y in gray_join(fps[s:e], distance, chunk, cost and cost(*(c[s:e] for c in more))):
                 a.append(s + x), b.append(s + y)
         return pa.RecordBatch.from_arrays(
             [pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], ["a", "b"]
@@ -276,10 +295,11 @@ def _node_links(batches: Iterator[pa.RecordBatch], distance: int = DISTANCE) ->
             np.array(batch.column(0).to_pylist(), dtype=object),
             batch.column(1).to_numpy(),
             batch.column(2).to_numpy().view(np.uint64),
+            *(c.to_numpy() for c in batch.columns[3:]),
         )
         if held is not None:
             rows = tuple(np.concatenate(x) for x in zip(held, rows))
-        node, pattern, fps = rows
+        node, pattern, fps = rows[:3]
         if not len(fps):
             continue
         changes = np.flatnonzero((node[1:] != node[:-1]) | (pattern[1:] != pattern[:-1]))
@@ -327,18 +347,24 @@ def _in_nodes(fps: DataFrame, node_rows: int, distance: int) -> DataFrame:
     return ordered.select("path", "pattern", *own_columns)
 
 
-def links(fps: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE) -> DataFrame:
+def links(fps: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE, cost: Cost | None = None) -> DataFrame:
     """Distinct fingerprints (fp) to links (a, b) that connect all pairs with at most `distance` differing bits.
 
-    Inside a node (see `_in_nodes`) the members are in Gray order and joined by `gray_join`.
+    Inside a node (see `_in_nodes`) the members are in Gray order and joined by `gray_join`. A cost takes the other columns of fps, and
+    pairs of infinite cost are not linked.
     """
-    return _in_nodes(fps.select("fp"), node_rows, distance).mapInArrow(lambda batches: _node_links(batches, distance), "a bigint, b bigint")
+    nodes = _in_nodes(fps if cost else fps.select("fp"), node_rows, distance)
+    return nodes.mapInArrow(lambda batches: _node_links(batches, distance, cost), "a bigint, b bigint")
+
 
+def pairs_between(texts: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE, cost: Cost | None = None) -> DataFrame:
+    """(fp, doc, class), all longs, to each pair (a, b) of documents of different classes with at most `distance` differing bits.
 
-def pairs_between(texts: DataFrame, node_rows: int = NODE_ROWS, distance: int = DISTANCE) -> DataFrame:
-    """(fp, doc, class), all longs, to each pair (a, b) of documents of different classes with at most `distance` differing bits."""
-    nodes = _in_nodes(texts.select("fp", "doc", "class"), node_rows, distance)
-    return nodes.mapInArrow(lambda batches: _node_pairs(batches, distance), "a bigint, b bigint").distinct()
+    A cost takes the other columns of texts, and pairs of infinite cost are left out.
+    """
+    own = ["fp", "doc", "class"]
+    nodes = _in_nodes(texts.select(*own, *(c for c in texts.columns if cost and c not in own)), node_rows, distance)
+    return nodes.mapInArrow(lambda batches: _node_pairs(batches, distance, cost), "a bigint, b bigint").distinct()
 
 
 # ---- operator ----

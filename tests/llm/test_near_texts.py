@@ -1,6 +1,8 @@
 import random
 from itertools import combinations
 
+import numpy as np
+
 from plumbline.llm import near_texts
 
 
@@ -84,3 +86,34 @@ def test_links_are_kept_where_the_forest_has_a_link_that_fails(spark):
     assert near_texts.jaccard(one, two) < 0.8 <= near_texts.jaccard(two, three)
     docs = spark.createDataFrame([(1, first), (2, second), (3, third)], "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in near_texts.one_of_each(docs).collect()) == [1, 2]
+
+
+def test_pairs_that_cannot_be_near_copies_are_not_made(spark, tmp_path, monkeypatch):
+    """Texts of one fingerprint whose passages differ: the pairs grew with the square of their number."""
+    rnd = random.Random(5)
+    rounds = [f"hub a{i} b{i}" for i in range(60)]
+    texts = {}
+    for i in range(100):
+        rnd.shuffle(rounds)
+        texts[10 * i] = " ".join(rounds + ["hub"])
+        texts[10 * i + 1] = texts[10 * i] + " hub"
+    monkeypatch.setattr(near_texts, "run_folder", lambda spark, label: str(tmp_path))
+    assert groups_left(spark, texts) == {10 * i for i in range(100)}
+    made = {name: spark.read.parquet(f"{tmp_path}/{name}.parquet").count() for name in ("close", "wide", "rest")}
+    assert sum(made.values()) <= 4 * len(texts)
+
+
+def test_sketches_never_rule_out_near_copies():
+    rnd = np.random.default_rng(6)
+    sets, ruled_out = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)], 0
+    for size in (1, 4, 5, 9, 40, 300, 3000):
+        whole = rnd.integers(0, 2**64, size, np.uint64)
+        sets += [np.unique(np.append(whole[cut:], rnd.integers(0, 2**64, more, np.uint64))) for cut in (0, 0, size // 9, size // 5, size // 2) for more in (0, size // 9)]
+    for similarity in (0.5, 0.8, 1.0):
+        sizes, sketch = near_texts.sketches(sets)
+        cost = near_texts.may_be_near(similarity)(sizes, *sketch.T)
+        for a, b in combinations(range(len(sets)), 2):
+            may = np.isfinite(cost(np.array([a]), np.array([b])))[0]
+            assert may or near_texts.jaccard(sets[a], sets[b]) < similarity
+            ruled_out += not may
+    assert ruled_out > 1000
