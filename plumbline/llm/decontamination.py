@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +21,12 @@ from plumbline.storage import run_folder
 PASSAGE = 64
 RANK = 48
 OVERSAMPLE = 16
-#: Texts whose terms are kept in one row for the fit, and words that are searched at a time.
+#: Texts whose terms are kept in one row for the fit, characters that are cut and words that are searched at a time.
 TOGETHER = 64
+CUT = 2**20
 SEARCHED = 8192
+#: Rows that are added one after another when runs of rows are summed.
+PIECE = 16
 #: Multiplications of a product that numpy does in one thread.
 SMALL = 250_000
 #: Benchmark items that one search holds; more are searched in blocks.
@@ -49,15 +53,67 @@ def terms_of(text: str | None) -> list[str]:
     return text.split()
 
 
+#: Characters that part words: the marks and white space, as `str.split` has it. All of them take one to three bytes.
+_BREAKS = {ord(c) for c in _MARKS} | {c for c in range(sys.maxunicode + 1) if chr(c).isspace()}
+_BREAK = np.zeros(2**16, bool)
+_BREAK[sorted(_BREAKS)] = True
+_BREAK_BYTE = _BREAK[:256] & (np.arange(256) < 128)
+#: First bytes of the breaks that are longer.
+_LEAD = np.zeros(256, bool)
+_LEAD[sorted({chr(c).encode()[0] for c in _BREAKS if c > 127})] = True
+
+
+def _breaks(text: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to characters that part words."""
+    parts = _BREAK_BYTE[text]
+    at = np.flatnonzero(_LEAD[text])
+    if len(at):
+        first, second = text[at].astype(np.int32), text[at + 1].astype(np.int32) & 63
+        three = first >= 0xE0
+        third = text[np.minimum(at + 2, len(text) - 1)].astype(np.int32) & 63
+        code = np.where(three, (first & 15) << 12 | second << 6 | third, (first & 31) << 6 | second)
+        found = _BREAK[code]
+        at, three = at[found], three[found]
+        parts[at] = parts[at + 1] = True
+        parts[at[three] + 2] = True
+    return parts
+
+
 class Numbers:
-    """Texts to the numbers of their terms, 0 for a term outside the benchmark."""
+    """Texts to the numbers of their terms, 0 for a term outside the benchmark.
+
+    The words are those of `terms_of`; some texts are cut and looked up at a time, without an object for each word.
+    """
 
     def __init__(self, vocabulary: dict[str, int]):
-        self.number = vocabulary.get
+        self.terms = pa.array([f"{term} ".encode() for term in vocabulary], pa.binary())
+        self.number = np.array([0, *vocabulary.values()], np.int32)
 
-    def of(self, text: str | None) -> np.ndarray:
-        words = terms_of(text)
-        return np.fromiter(map(self.number, words, repeat(0)), np.int32, len(words))
+    def of(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        held, size = [], 0
+        for text in texts:
+            held.append((text or "").lower().encode())
+            size += len(held[-1])
+            if size >= CUT:
+                yield from self._of(held)
+                held, size = [], 0
+        yield from self._of(held)
+
+    def _of(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        joined = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        parts = _breaks(joined)
+        words = np.flatnonzero(parts[1:] & ~parts[:-1]) + 1  # the byte behind each word
+        # Words without what lies between them, each with a blank behind it.
+        keep = ~parts
+        keep[words] = True
+        body = np.where(parts, np.uint8(32), joined)[keep]
+        ends = np.flatnonzero(body == 32).astype(np.int32) + 1
+        offsets = np.concatenate([np.zeros(1, np.int32), ends])
+        column = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+        found = pc.fill_null(pc.index_in(column, value_set=self.terms), -1).to_numpy(zero_copy_only=False)
+        ids = self.number[found + 1]
+        stop = np.searchsorted(words, np.cumsum([len(t) + 1 for t in texts]))
+        yield from (ids[low:high] for low, high in zip([0, *stop.tolist()], stop.tolist()))
 
 
 # ---- items ----
@@ -143,8 +199,7 @@ def kept_terms(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
         numbers = Numbers(shared.value)
         for part in parts_of(batches, TOGETHER):
             found = []
-            for text in part.column(0).to_pylist():
-                ids = numbers.of(text)
+            for ids in numbers.of(part.column(0).to_pylist()):
                 found += [ids.astype(kind), np.zeros(-len(ids) % PASSAGE, kind)]
             yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(found).tobytes()], pa.binary())], ["ids"])
 
@@ -202,6 +257,28 @@ def _sum_matrices(parts: DataFrame) -> DataFrame:
     return parts.repartition("block").mapInArrow(run, parts.schema)
 
 
+def _sums_of(rows: np.ndarray, which: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sums of `rows[which]` from each start to the next.
+
+    Runs are cut into pieces of at most `PIECE`; all first rows of the pieces are added at once, then all second ones.
+    """
+    sizes = np.diff(np.append(starts, len(which)))
+    pieces = -(-sizes // PIECE)
+    first = np.cumsum(pieces) - pieces
+    nth = np.arange(pieces.sum()) - np.repeat(first, pieces)
+    places = np.repeat(starts, pieces) + nth * PIECE
+    sizes = np.minimum(np.repeat(sizes, pieces) - nth * PIECE, PIECE)
+    order = np.argsort(-sizes, kind="stable")
+    longest = places[order]
+    sums = rows[which[longest]]
+    for step in range(1, sizes.max()):
+        left = int((sizes > step).sum())
+        sums[:left] += rows[which[longest[:left] + step]]
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return np.add.reduceat(sums[back], first, axis=0)
+
+
 def _product(kept: DataFrame, idf: np.ndarray, right: np.ndarray, gram: bool) -> np.ndarray:
     """With A the TF-IDF matrix of the passages: A'(A right), or (A right)'(A right) if `gram`."""
     shared = kept.sparkSession.sparkContext.broadcast((idf, right))
@@ -220,7 +297,7 @@ def _product(kept: DataFrame, idf: np.ndarray, right: np.ndarray, gram: bool) ->
             if not len(term):
                 continue
             new = np.r_[True, passage[1:] != passage[:-1]]
-            sums = np.add.reduceat(scaled[term], np.flatnonzero(new), axis=0)
+            sums = _sums_of(scaled, term, np.flatnonzero(new))
             if gram:
                 for i in range(0, len(sums), rows_small):
                     total += sums[i : i + rows_small].T @ sums[i : i + rows_small]
@@ -228,7 +305,7 @@ def _product(kept: DataFrame, idf: np.ndarray, right: np.ndarray, gram: bool) ->
             order = np.argsort(term, kind="stable")
             term = term[order]
             starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
-            of_term = np.add.reduceat(sums[(np.cumsum(new) - 1)[order]], starts, axis=0)
+            of_term = _sums_of(sums, (np.cumsum(new) - 1)[order], starts)
             total[term[starts]] += of_term * idf[term[starts]][:, None]
         for block, low in enumerate(range(0, len(total), rows)):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([total[low : low + rows].tobytes()])], ["block", "body"])
@@ -301,19 +378,21 @@ class Searcher:
                 sizes = np.array([len(i.terms) for i in own])
                 step = max(2, int(sizes.min()) // 2)
                 vectors = np.array([self.load[i.terms].sum(0) for i in own])
-                member = np.zeros((len(own), len(self.load)), bool)
+                member = np.zeros((len(own), len(self.load)), np.uint8)
                 for row, item in enumerate(own):
-                    member[row, item.terms] = True
+                    member[row, item.terms] = 1
                 blank = np.linalg.norm(vectors, axis=1) < 1e-9
                 self.groups.append(Group(own, sizes, step, int(sizes.max()) + step, _unit(vectors), blank, member))
             low, high = high, max(high + 1, int(high * GROWTH))
+        #: Empty places between texts, so that a window with a step on both sides meets one text only.
+        self.gap = np.zeros(max((g.width + 2 * g.step for g in self.groups), default=0), np.int32)
 
     def __call__(self, texts: list[str | None]) -> list[dict[object, float]]:
         """For each text item_id to the share of its words found in order, for the leaked items."""
         out, held, size = [], [], 0
-        for text in texts:
-            held.append(self.numbers.of(text))
-            size += len(held[-1])
+        for ids in self.numbers.of(texts):
+            held.append(ids)
+            size += len(ids)
             if size >= SEARCHED:
                 out += self._search(held)
                 held, size = [], 0
@@ -321,12 +400,12 @@ class Searcher:
 
     def _search(self, texts: list[np.ndarray]) -> list[dict[object, float]]:
         found: list[dict[object, float]] = [{} for _ in texts]
-        ids = np.concatenate([*texts, np.zeros(0, np.int32)])
+        ids = np.concatenate([self.gap, *(part for text in texts for part in (text, self.gap))])
         inside = np.concatenate([[0], np.cumsum(ids > 0)])
         if not inside[-1]:
             return found
         sizes = np.array([len(t) for t in texts])
-        stop = np.cumsum(sizes)
+        stop = np.cumsum(sizes + len(self.gap))
         at = np.flatnonzero(self.weighs[ids])
         sums = None
         for g in self.groups:
@@ -350,18 +429,14 @@ class Searcher:
             w, i = np.nonzero(near)
             for low in range(0, len(w), CHUNK):
                 part = w[low : low + CHUNK]
-                own = owner[part]
-                self._compare(g, ids, starts[part], (stop - sizes)[own], stop[own], i[low : low + CHUNK], [found[o] for o in own.tolist()])
+                self._compare(g, ids, starts[part], i[low : low + CHUNK], [found[o] for o in owner[part].tolist()])
         return found
 
-    def _compare(
-        self, g: Group, ids: np.ndarray, starts: np.ndarray, lows: np.ndarray, stops: np.ndarray, i: np.ndarray, founds: list[dict]
-    ) -> None:
+    def _compare(self, g: Group, ids: np.ndarray, starts: np.ndarray, i: np.ndarray, founds: list[dict]) -> None:
         """The windows, a step longer on both sides inside their texts, that share enough words with the item, in order."""
-        places = (starts - g.step)[:, None] + np.arange(g.width + 2 * g.step)
-        there = (places >= lows[:, None]) & (places < stops[:, None])
-        words = np.where(there, ids[np.clip(places, 0, len(ids) - 1)], 0)
-        shared = g.member[i[:, None], words].sum(1)
+        wide = g.width + 2 * g.step
+        words = np.lib.stride_tricks.sliding_window_view(ids, wide)[starts - g.step]
+        shared = g.member.ravel().take((i * g.member.shape[1])[:, None] + words).sum(1, dtype=np.uint8 if wide < 256 else np.int64)
         for k in np.flatnonzero(shared >= PARAPHRASE * g.sizes[i]).tolist():
             item, n, found = g.items[i[k]], int(g.sizes[i[k]]), founds[k]
             if found.get(item.item_id, 0.0) >= 1.0:

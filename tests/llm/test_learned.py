@@ -250,3 +250,25 @@ def test_texts_searched_together_leak_as_alone():
         texts += [" ".join(part[: len(part) - k % 4]), " ".join(rnd.choice(words) for _ in range(k)), f"{' '.join(part)} y {' '.join(rnd.choice(words) for _ in range(70))}"]
     together = search(texts)
     assert together == [search([t])[0] for t in texts] and sum(map(bool, together)) > 60
+
+
+def test_words_cut_together_are_those_of_each_text():
+    rnd = random.Random(9)
+    signs = [chr(c) for c in [*range(0x250), 0x3A3, 0x1680, 0x2014, 0x2019, 0x2028, 0x205F, 0x2060, 0x20AC, 0x3000, 0x4E2D, 0xFFFF, 0x1F600]]
+    texts = [None, "", " ", "\xa0", "a", "ΑΣ ΑΣ", *("".join(rnd.choices(signs + ["a", "b", " "] * 150, k=rnd.randrange(90))) for _ in range(900))]
+    vocabulary = {}
+    for text in texts:
+        for word in decontamination.terms_of(text):
+            if rnd.random() < 0.6:
+                vocabulary.setdefault(word, len(vocabulary) + 1)
+    found = list(decontamination.Numbers(vocabulary).of(texts))
+    assert [ids.tolist() for ids in found] == [[vocabulary.get(w, 0) for w in decontamination.terms_of(t)] for t in texts]
+    assert list(decontamination.Numbers({}).of([])) == []
+
+
+def test_sums_of_runs_of_any_length():
+    rows, rnd = np.random.default_rng(4).standard_normal((50, 3)), np.random.default_rng(5)
+    for sizes in ([1], [1, 40, 2, 16, 17, 200], rnd.integers(1, 60, 80).tolist()):
+        which = rnd.integers(0, 50, sum(sizes))
+        starts = np.cumsum([0, *sizes[:-1]])
+        assert np.allclose(decontamination._sums_of(rows, which, starts), np.add.reduceat(rows[which], starts, axis=0))
