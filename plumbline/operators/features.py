@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import (
-    CountVectorizerModel,
-    ElementwiseProduct,
-    NGram,
-    Normalizer,
-    RegexTokenizer,
-    StopWordsRemover,
-)
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = r"[\p{L}\p{N}_]{2,}"
+from plumbline.storage import checkpointed
+
+#: Runs of `[\p{L}\p{N}_]`; the ranges are tried first, which is faster.
+TOKEN = r"[a-z0-9_\p{L}\p{N}]{2,}+"
+#: Numbers that terms are hashed to before they are counted one by one.
+BUCKETS = 2**20
 
 
 def english_stop_words() -> list[str]:
@@ -25,12 +23,14 @@ def english_stop_words() -> list[str]:
 
 def with_terms(df: DataFrame, text: str, stop_words: list[str], longest: int = 2, out: str = "terms") -> DataFrame:
     """Add the 1- to `longest`-grams of a text; stop words are taken out before words are joined."""
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_raw", pattern=TOKEN, gaps=False, toLowercase=True),
-        StopWordsRemover(inputCol="_raw", outputCol="_n1", stopWords=stop_words),
-        *(NGram(n=n, inputCol="_n1", outputCol=f"_n{n}") for n in range(2, longest + 1)),
-    ]
-    staged = PipelineModel(stages).transform(df.filter(F.col(text).isNotNull()))
+    stop = [word.lower() for word in stop_words]
+    words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+    staged = df.filter(F.col(text).isNotNull()).withColumn("_raw", words)
+    staged = staged.withColumn("_n1", F.filter("_raw", lambda word: ~word.isin(stop)))
+    for n in range(2, longest + 1):
+        size = F.greatest(F.size("_n1") - (n - 1), F.lit(0))
+        heads, tails = F.slice(f"_n{n - 1}", F.lit(1), size), F.slice("_n1", F.lit(n), size)
+        staged = staged.withColumn(f"_n{n}", F.zip_with(heads, tails, lambda head, tail: F.concat(head, F.lit(" "), tail)))
     grams = [f"_n{n}" for n in range(1, longest + 1)]
     return staged.withColumn(out, F.concat(*grams)).drop("_raw", *grams)
 
@@ -61,10 +61,45 @@ def term_counts(df: DataFrame, by: list[str] = [], terms: str = "terms") -> Data
     return _term_rows(df.select(*by, terms), terms).groupBy(*by, "term").agg(F.sum("n").cast("long").alias("tf"), F.count(F.lit(1)).alias("df"))
 
 
+def _listed(terms: str, value: str, numbers: list[int]) -> Column:
+    """The terms of the array whose `value`, an expression over `t`, is among the numbers."""
+    return F.expr(f"filter(`{terms}`, t -> {value} IN ({', '.join(f'{n}L' for n in numbers) or 'NULL'}))")
+
+
 def ngram_vocabulary(df: DataFrame, min_df: int = 2, max_features: int = 5000, terms: str = "terms") -> DataFrame:
-    """The most frequent terms that occur in `min_df` texts or more; ties go by the term."""
-    frequent = term_counts(df, terms=terms).filter(F.col("df") >= min_df)
-    return frequent.orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
+    """The most frequent terms that occur in `min_df` texts or more; ties go by the term.
+
+    Most n-grams stand in a text or two and are never counted one by one. Occurrences are first counted by a hash of
+    the term, and a term is at most as frequent as its bucket: once the last term of a vocabulary is as frequent as
+    the buckets that were left out, no term of theirs can be in it. If it is not, its frequency is the bound of a
+    second count, which leaves no such bucket out. At most `8 * max_features` numbers of buckets come to the driver.
+    """
+    every = df.select(F.explode_outer(terms).alias("term")).filter(F.col("term").isNotNull())
+    bucket = f"pmod(xxhash64({{}}), {BUCKETS}L)"
+    buckets = every.groupBy(F.expr(bucket.format("term")).alias("bucket")).agg(F.count(F.lit(1)).alias("n")).persist()
+
+    def most_frequent(texts: DataFrame) -> DataFrame:
+        frequent = term_counts(texts, terms=terms).filter(F.col("df") >= min_df)
+        return checkpointed(frequent.orderBy(F.desc("tf"), F.asc("term")).limit(max_features))
+
+    def within(rows: list) -> DataFrame:
+        return df.withColumn(terms, _listed(terms, bucket.format("t"), [row["bucket"] for row in rows]))
+
+    try:
+        wide = 2 * max_features
+        first = buckets.orderBy(F.desc("n")).limit(wide + 1).collect()
+        if len(first) <= wide:
+            return most_frequent(df)
+        left_out = first[-1]["n"]  # the most occurrences of a bucket, and so of a term, that is not counted
+        found = most_frequent(within([row for row in first if row["n"] > left_out]))
+        last = found.agg(F.count(F.lit(1)).alias("terms"), F.min("tf").alias("tf")).first()
+        if last["terms"] == max_features and last["tf"] > left_out:
+            return found
+        least = last["tf"] if last["terms"] == max_features else min_df
+        rows = buckets.filter(F.col("n") >= least).limit(8 * max_features + 1).collect()
+        return most_frequent(within(rows) if len(rows) <= 8 * max_features else df)
+    finally:
+        buckets.unpersist()
 
 
 def idf(n_texts: Column, df: Column) -> Column:
@@ -74,11 +109,13 @@ def idf(n_texts: Column, df: Column) -> Column:
 def tfidf_weights(df: DataFrame, key: str, vocabulary: DataFrame, n_texts: Column, terms: str = "terms") -> DataFrame:
     """Long table `(key, term, weight)`: count times idf, each text scaled to length 1.
 
-    The vocabulary has at most `max_features` rows, a bound the caller sets, so it is broadcast; only terms in it
-    are shuffled, once, as one row per text.
+    The vocabulary has at most `max_features` rows, a bound the caller sets, so its hashes come to the driver and it is
+    broadcast; other terms are left out before a text's terms are counted. Only terms in it are shuffled, once, as one
+    row per text.
     """
     weights = vocabulary.select("term", idf(n_texts, F.col("df")).alias("_idf"))
-    counted = _term_rows(df.select(key, terms), terms)
+    hashes = [row["hash"] for row in vocabulary.select(F.xxhash64("term").alias("hash")).collect()]
+    counted = _term_rows(df.select(key, _listed(terms, "xxhash64(t)", hashes).alias(terms)), terms)
     known = counted.join(F.broadcast(weights), "term").withColumn("_w", F.col("n") * F.col("_idf"))
     per_text = known.groupBy(key).agg(
         F.collect_list(F.struct("term", F.col("_w").alias("w"))).alias("_ws"),

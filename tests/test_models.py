@@ -132,3 +132,29 @@ def test_trees_are_fitted_on_partitions_by_rows(spark, monkeypatch):
     monkeypatch.setattr(models, "TRAIN_ROWS", 20)
     models.fit_gbt_churn(rows, "y", params)
     assert seen == [1, 5]
+
+
+@pytest.mark.parametrize("buckets, most, fewer", [(2**20, 5, True), (2**20, 40, True), (64, 5, True), (8, 3, False), (2**20, 5000, False)])
+def test_vocabulary_of_counted_buckets_is_that_of_all_terms(spark, monkeypatch, buckets, most, fewer):
+    monkeypatch.setattr(features, "BUCKETS", buckets, raising=False)
+    texts = [(i, [f"w{(i * j * j) % (7 + j)}" for j in range(40)] + [f"once{i}"] * 3 + [f"rare{i}_{j}" for j in range(9)]) for i in range(60)]
+    rows = spark.createDataFrame([*texts, (60, []), (61, None), (61, ["w1", "w1"])], "id bigint, terms array<string>")
+    counts = features.term_counts(rows).filter("df >= 2").collect()
+    wanted = sorted(((r["term"], r["tf"], r["df"]) for r in counts), key=lambda r: (-r[1], r[0]))[:most]
+    counted, count = [], features.term_counts
+    monkeypatch.setattr(features, "term_counts", lambda df, **named: counted.append(count(df, **named)) or counted[-1])
+    found = [(r["term"], r["tf"], r["df"]) for r in features.ngram_vocabulary(rows, 2, most).collect()]
+    assert sorted(found, key=lambda r: (-r[1], r[0])) == wanted
+    every = count(rows).count()
+    assert all((df.count() < every / 2) == fewer for df in counted)
+
+
+def test_terms_are_the_runs_of_letters_and_digits(spark):
+    texts = ["Straße 12 a_b É É x ÀÉ", "THE end, of the_end 中文字 ½½", "", "x", None, "ΑΣ ΑΣ I'm"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    found = {r["id"]: r["terms"] for r in features.with_terms(rows, "t", ["The", "of"], 3).collect()}
+    assert found == {
+        0: ["straße", "12", "a_b", "àé", "straße 12", "12 a_b", "a_b àé", "straße 12 a_b", "12 a_b àé"],
+        1: ["end", "the_end", "中文字", "½½", "end the_end", "the_end 中文字", "中文字 ½½", "end the_end 中文字", "the_end 中文字 ½½"],
+        2: [], 3: [], 5: ["ας", "ας", "ας ας"],
+    }
