@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.storage import checkpointed
@@ -110,19 +110,15 @@ def tfidf_weights(df: DataFrame, key: str, vocabulary: DataFrame, n_texts: Colum
     """Long table `(key, term, weight)`: count times idf, each text scaled to length 1.
 
     The vocabulary has at most `max_features` rows, a bound the caller sets, so its hashes come to the driver and it is
-    broadcast; other terms are left out before a text's terms are counted. Only terms in it are shuffled, once, as one
-    row per text.
+    broadcast; other terms are left out before a text's terms are counted. Only terms in it are shuffled, once, and no
+    text is gathered in one value.
     """
     weights = vocabulary.select("term", idf(n_texts, F.col("df")).alias("_idf"))
     hashes = [row["hash"] for row in vocabulary.select(F.xxhash64("term").alias("hash")).collect()]
     counted = _term_rows(df.select(key, _listed(terms, "xxhash64(t)", hashes).alias(terms)), terms)
     known = counted.join(F.broadcast(weights), "term").withColumn("_w", F.col("n") * F.col("_idf"))
-    per_text = known.groupBy(key).agg(
-        F.collect_list(F.struct("term", F.col("_w").alias("w"))).alias("_ws"),
-        F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"),
-    )
-    rows = per_text.select(key, "_norm", F.inline_outer("_ws"))
-    return rows.select(key, "term", (F.col("w") / F.col("_norm")).alias("weight"))
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
+    return known.select(key, "term", (F.col("_w") / length).alias("weight"))
 
 
 def vectorizer(vocabulary: DataFrame, n_texts: int, terms: str = "terms", out: str = "features") -> tuple[PipelineModel, list[str]]:
