@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.columns import parts_of, set_aside
+from plumbline.llm.columns import parts_of, released, set_aside
 from plumbline.llm.graph import landed
 from plumbline.storage import run_folder
 
@@ -203,7 +203,7 @@ def kept_terms(docs: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
                 found += [ids.astype(kind), np.zeros(-len(ids) % PASSAGE, kind)]
             yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(found).tobytes()], pa.binary())], ["ids"])
 
-    return landed(docs.select("text").mapInArrow(run, "ids binary"), f"{run_folder(docs.sparkSession, 'terms')}/ids.parquet")
+    return landed(docs.select("text").mapInArrow(released(run), "ids binary"), f"{run_folder(docs.sparkSession, 'terms')}/ids.parquet")
 
 
 def id_type(terms: int) -> type:
@@ -458,17 +458,18 @@ LEAKS, BEFORE = "_leaks", "_leaks_before"
 def _searched(docs: DataFrame, items: list[Item], space: Space, keep: list[str]) -> DataFrame:
     """The columns `keep` and, last, the leaks (item_id, share) of the text."""
     shared = docs.sparkSession.sparkContext.broadcast((items, space))
-    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").alias(LEAKS))
+    at = keep.index("text") if "text" in keep else len(keep)  # a text that is kept goes to the worker once
+    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), *[F.col("text").alias(LEAKS)][: at == len(keep)])
     kind = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("share", T.DoubleType())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Searcher(*shared.value)
         form = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())]))
         for batch in parts_of(batches):
-            found = [[{"item_id": i, "share": s} for i, s in sorted(x.items())] for x in search(batch.column(len(keep)).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, form)], [*keep, LEAKS])
+            found = [[{"item_id": i, "share": s} for i, s in sorted(x.items())] for x in search(batch.column(at).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found, form)], [*keep, LEAKS])
 
-    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields[:-1], T.StructField(LEAKS, kind)]))
+    return chosen.mapInArrow(released(run), T.StructType([*chosen.schema.fields[: len(keep)], T.StructField(LEAKS, kind)]))
 
 
 def item_blocks(benchmark: DataFrame, answer: str | None, block_items: int) -> Iterator[list[tuple]]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.columns import set_aside
+from plumbline.llm.columns import parts_of, released, set_aside
 from plumbline.storage import checkpointed, run_folder
 
 #: A passage goes if it has so many words and several lines, or so many words in one line.
@@ -100,7 +100,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    return found.mapInArrow(run, f"doc_id {kind}, hash bigint, at int, lines int")
+    return found.mapInArrow(released(run), f"doc_id {kind}, hash bigint, at int, lines int")
 
 
 def covering(chunks: list[tuple[int, int]]) -> list[int]:
@@ -132,7 +132,7 @@ def repeated_runs(chunks: DataFrame) -> DataFrame:
     listed = again.groupBy("doc_id").agg(F.collect_set(F.struct("at", "lines", "hash", "first")).alias("again"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             lists = batch.column(1)
             flat = lists.flatten()
             ends = np.cumsum(lists.value_lengths().to_numpy())
@@ -147,7 +147,7 @@ def repeated_runs(chunks: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, *(rows.field(k) for k in RUN_COLUMNS)], ["doc_id", *RUN_COLUMNS])
 
     kind = chunks.schema["doc_id"].dataType.simpleString()
-    return listed.mapInArrow(run, f"doc_id {kind}, at int, lines int, hash bigint, first struct<doc_id: {kind}, at: int>")
+    return listed.mapInArrow(released(run), f"doc_id {kind}, at int, lines int, hash bigint, first struct<doc_id: {kind}, at: int>")
 
 
 RUN_COLUMNS = ["at", "lines", "hash", "first"]
@@ -171,7 +171,7 @@ def first_texts(docs: DataFrame, runs: DataFrame) -> DataFrame:
     text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             hashes, bodies = [], []
             for t, todo in zip(batch.column(text).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 lines = full_lines(t or "") if todo else []
@@ -180,7 +180,7 @@ def first_texts(docs: DataFrame, runs: DataFrame) -> DataFrame:
                     bodies.append(chunk_bytes(lines, c["at"], c["lines"]))
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(bodies, pa.binary())], ["hash", "body"])
 
-    found = _with_lists(docs, wanted).mapInArrow(run, "hash bigint, body binary")
+    found = _with_lists(docs, wanted).mapInArrow(released(run), "hash bigint, body binary")
     return found.groupBy("hash").agg(F.min("body").alias("body"))
 
 
@@ -227,7 +227,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     at_text = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             texts, counts = [], []
             for t, todo in zip(batch.column(at_text).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 gone: set[int] = set()
@@ -245,7 +245,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             columns[at_text] = pa.array(texts, columns[at_text].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*names, REMOVED])
 
-    done = joined.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(REMOVED, T.LongType())]))
+    done = joined.mapInArrow(released(run), T.StructType([*source.schema.fields, T.StructField(REMOVED, T.LongType())]))
     return done.withColumnsRenamed(own).withColumnsRenamed(back)
 
 

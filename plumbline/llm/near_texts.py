@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.columns import parts_of
+from plumbline.llm.columns import parts_of, released
 from plumbline.llm.graph import components, landed
 from plumbline.llm.simhash import DISTANCE, SEED, Cost, bit_counts, fold_bits, links, pairs_between
 from plumbline.storage import run_folder
@@ -110,7 +110,7 @@ def _prints(docs: DataFrame, print_shingle: int, shingle: int) -> DataFrame:
 
     kind = docs.schema["doc"].dataType.simpleString()
     short = ", ".join(f"{c} bigint" for c in ("size", *SKETCH))
-    return docs.select("doc", "text").mapInArrow(run, f"doc {kind}, fp bigint, mark binary, {short}")
+    return docs.select("doc", "text").mapInArrow(released(run), f"doc {kind}, fp bigint, mark binary, {short}")
 
 
 def _similar(edges: DataFrame, docs: DataFrame, shingle: int, similarity: float, path: str) -> DataFrame:
@@ -123,7 +123,7 @@ def _similar(edges: DataFrame, docs: DataFrame, shingle: int, similarity: float,
             found = [shingle_hashes(t, shingle).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc", "shingles"])
 
-    some = docs.join(ends, "doc", "left_semi").select("doc", "text").mapInArrow(sets, f"doc {kind}, shingles binary")
+    some = docs.join(ends, "doc", "left_semi").select("doc", "text").mapInArrow(released(sets), f"doc {kind}, shingles binary")
     some = landed(some.dropDuplicates(["doc"]), f"{path}/shingles.parquet")
     left = some.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
     right = some.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
@@ -139,7 +139,7 @@ def _similar(edges: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     sized = edges.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
     sized = sized.where(F.least("na", "nb") >= F.greatest("na", "nb") * (similarity - 1e-9)).select("a", "b")
     both = sized.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return landed(both.mapInArrow(judge, f"a {kind}, b {kind}"), f"{path}/similar.parquet")
+    return landed(both.mapInArrow(released(judge), f"a {kind}, b {kind}"), f"{path}/similar.parquet")
 
 
 def one_of_each(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.columns import parts_of, set_aside
+from plumbline.llm.columns import Lately, parts_of, released, set_aside
 from plumbline.llm.sampling import smallest_hashes
 from plumbline.storage import checkpointed
 
@@ -24,7 +24,7 @@ DECAY = 0.6
 LETTERS = 45
 WINDOW = 14
 #: Words that a worker keeps scored.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 60_000
 #: Bounds of what is fitted on: labelled documents of a class, windows of a class, landmarks.
 SAMPLE_DOCS = 4000
 SAMPLE_WINDOWS = 8000
@@ -198,7 +198,7 @@ class Scorer:
     """Measures of texts; the margins of words are kept."""
 
     def __init__(self, weights: np.ndarray, bias: float, kept: int = CACHE_WORDS):
-        self.weights, self.bias, self.kept, self.margins = weights, bias, kept, {}
+        self.weights, self.bias, self.margins = weights, bias, Lately(kept)
 
     def _learn(self, words: list[str]) -> None:
         parts, owner = [], []
@@ -209,7 +209,7 @@ class Scorer:
         found = np.full(len(words), FLOOR, np.float32)
         if parts:
             np.maximum.at(found, owner, score_windows(parts, self.weights, self.bias))
-        self.margins.update(zip(words, found.tolist()))
+        self.margins.now.update(zip(words, found.tolist()))
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         """The `TOP` largest margins of each text's different words, `FLOOR` where it has fewer, and how many words."""
@@ -217,12 +217,11 @@ class Scorer:
         out[:, TOP] = 0
         for low in range(0, len(texts), 128):
             sets = [set(words_of(t or "")) for t in texts[low : low + 128]]
-            if len(self.margins) > self.kept:
-                self.margins.clear()
-            new = set().union(*sets) - self.margins.keys()
+            self.margins.make_room()
+            new = self.margins.missing(set().union(*sets))
             if new:
                 self._learn(list(new))
-            keep = self.margins.__getitem__
+            keep = self.margins.now.__getitem__
             for at, words in enumerate(sets):
                 found = np.fromiter(map(keep, words), np.float32, len(words))
                 if len(found) > TOP:
@@ -239,17 +238,18 @@ def measured(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     """The columns `keep` of docs (all by default) and the measures of its text."""
     keep = docs.columns if keep is None else keep
     weights, bias = docs.sparkSession.sparkContext.broadcast(model.weights), model.bias
-    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias(MEASURES))
+    at = keep.index(text) if text in keep else len(keep)  # a text that is kept goes to the worker once
+    chosen = docs.select(*(F.col(f"`{c}`") for c in keep), *[F.col(f"`{text}`").alias(MEASURES)][: at == len(keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(weights.value, bias)
         for part in parts_of(batches):
-            found = scorer(part.column(len(keep)).to_pylist())
+            found = scorer(part.column(at).to_pylist())
             lists = pa.ListArray.from_arrays(np.arange(0, found.size + 1, TOP + 1, dtype=np.int32), found.ravel())
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*keep, MEASURES])
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], lists], [*keep, MEASURES])
 
-    schema = T.StructType([*chosen.schema.fields[:-1], T.StructField(MEASURES, T.ArrayType(T.DoubleType()))])
-    return chosen.mapInArrow(run, schema)
+    schema = T.StructType([*chosen.schema.fields[: len(keep)], T.StructField(MEASURES, T.ArrayType(T.DoubleType()))])
+    return chosen.mapInArrow(released(run), schema)
 
 
 # ---- training ----
@@ -291,7 +291,7 @@ def sentence_words(docs: DataFrame) -> DataFrame:
                 ["word", "toxic", "sentence"],
             )
 
-    found = docs.select("text", "toxic").mapInArrow(run, "word string, toxic int, sentence bigint")
+    found = docs.select("text", "toxic").mapInArrow(released(run), "word string, toxic int, sentence bigint")
     return found.where("word <> ''").distinct()
 
 

@@ -1,9 +1,12 @@
 """Columns of the caller with names that the operators use inside."""
 
+import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import columns, decontamination, line_dedup, toxicity
+from plumbline.llm import columns, decontamination, line_dedup, packing, toxicity
 from plumbline.llm.columns import set_aside
 
 
@@ -41,3 +44,60 @@ def test_batches_are_cut():
     parts = list(columns.parts_of(iter([batch, batch.slice(0, 0), batch.slice(2, 3)]), 4))
     assert [p.num_rows for p in parts] == [4, 4, 2, 3]
     assert [x for p in parts for x in p.column(0).to_pylist()] == [*range(10), 2, 3, 4]
+
+
+def test_released_passes_rows_on():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10))], ["x"])
+    assert [p.num_rows for p in columns.released(columns.parts_of)(iter([batch, batch]))] == [10, 10]
+
+
+def test_words_that_come_again_stay():
+    held = columns.Lately(100)
+    for call in range(50):
+        words = {"often", *(f"{call}-{i}" for i in range(20))}
+        held.make_room()
+        new = held.missing(words)
+        assert ("often" in new) == (call == 0) and len(new) == 20 + (call == 0)
+        held.now.update((w, call) for w in new)
+        assert words <= held.now.keys() and held.now["often"] == 0
+    assert len(held) <= 100 + 2 * 21
+
+
+def rare_words(n, each=1000):
+    """Texts of words that stand in one of them only, and one word that all have."""
+    return [" ".join(["often", *(f"w{low + i}q" for i in range(each))]) for low in range(0, n, each)]
+
+
+def test_scorer_holds_few_words_and_scores_alike(monkeypatch):
+    weights = np.random.default_rng(5).standard_normal(toxicity.LETTERS**3).astype(np.float32)
+    texts = rare_words(3000, 20)
+    whole = toxicity.Scorer(weights, 0.0)(texts)
+    few = toxicity.Scorer(weights, 0.0, kept=50)
+    assert np.array_equal(np.concatenate([few(texts[i : i + 7]) for i in range(0, len(texts), 7)]), whole)
+    monkeypatch.setattr(toxicity, "score_windows", lambda windows, *_: np.zeros(len(windows), np.float32))
+    scorer = toxicity.Scorer(weights, 0.0)
+    for text in rare_words(200_000):
+        scorer([text])
+    assert len(scorer.margins) < 70_000
+
+
+def test_encoder_holds_few_words():
+    encode = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in rare_words(200_000):
+        encode([text])
+    assert len(encode.ids) < 110_000
+
+
+@pytest.mark.parametrize("name", ["text", "doc_id"])
+def test_texts_go_to_workers_once(spark, documents, monkeypatch, name):
+    model = toxicity.Model(np.zeros(toxicity.LETTERS**3, np.float32), 0.0, np.ones(toxicity.TOP + 1), 0.0)
+    items, vocabulary = decontamination.read_items([(1, "one two three four five six", None)])
+    space = decontamination.Space(vocabulary, np.ones((len(vocabulary) + 1, 2)))
+    sent, real = [], type(documents).mapInArrow
+    monkeypatch.setattr(type(documents), "mapInArrow", lambda df, *x: (sent.append(df.columns), real(df, *x))[1])
+    keep = documents.columns if name == "text" else ["doc_id"]
+    rows = [toxicity.measured(documents, model, "text", keep), decontamination._searched(documents, items, space, keep)]
+    assert [len(columns) for columns in sent] == 2 * [len(documents.columns) if name == "text" else 2]
+    for found in rows:
+        assert found.columns[:-1] == keep and found.select(*keep).exceptAll(documents.select(*keep)).isEmpty()
+        assert found.count() == documents.count()
