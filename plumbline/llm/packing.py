@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.columns import Lately, released
+from plumbline.llm.columns import released
 
 CAPACITY = 2048
 END_ID = 1
@@ -24,7 +24,7 @@ PIECE = 256
 #: Share of a block's windows that is left free, so that near-equal windows fit.
 SLACK = 1 / 128
 #: Words whose ids a worker keeps from one batch to the next.
-CACHE_WORDS = 100_000
+CACHE_WORDS = 150_000
 #: Bits of the sequence id that number the sequences of one partition.
 SEQUENCE_BITS = 33
 
@@ -72,7 +72,7 @@ class Encoder:
         for mark, letter in SEPARATORS.items():
             self.opens[mark] = np.zeros(max(vocabulary.values()) + 1, bool)
             self.opens[mark][[i for token, i in vocabulary.items() if token[:1] == letter]] = True
-        self.ids = Lately(kept)
+        self.kept, self.ids = kept, {}
         self.ends = {x: self._encode([x])[0] for x in ",."}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -92,18 +92,19 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Keep the ids of new words."""
-        ends, known = self.ends, self.ids.now
+        ends, known = self.ends, self.ids
         closed, lines, ends_of_text = [], [], []
-        bare, stems = set(), set()
+        bare = set()
         for word in words:
             if word[-1:] in ends and word[:-1].isalpha():
                 closed.append(word)
-                stems.add(word[:-1])
+                if word[:-1] not in known:
+                    bare.add(word[:-1])
             elif word[:1] != "\n":
                 bare.add(word)
             else:
                 (lines if len(word) > 1 else ends_of_text).append(word)
-        spelt = list(bare | self.ids.missing(stems))
+        spelt = list(bare)
         known.update(zip(spelt, self._spelt(spelt, " ")))
         known.update(zip(lines, self._spelt([w[1:] for w in lines], "\n")))
         known.update(zip(ends_of_text, self._encode(ends_of_text)))
@@ -119,9 +120,12 @@ class Encoder:
         opening = [i for i, words in enumerate(split) if words]
         firsts = dict(zip(whole + opening, self._encode([texts[i] for i in whole] + [split[i][0] for i in opening])))
         tails = [words[1:] for words in split]
-        self.ids.make_room()
-        self._learn(self.ids.missing(set().union(*tails)))
-        keep = self.ids.now.__getitem__
+        if len(self.ids) > self.kept:
+            self.ids.clear()
+        new = set().union(*tails)
+        new -= self.ids.keys()
+        self._learn(new)
+        keep = self.ids.__getitem__
         return [b"".join([firsts[i], *map(keep, words)]) for i, words in enumerate(tails)]
 
 
