@@ -134,6 +134,27 @@ def test_trees_are_fitted_on_partitions_by_rows(spark, monkeypatch):
     assert seen == [1, 5]
 
 
+def test_tree_partitions_follow_the_cores_and_not_the_rows(spark, monkeypatch):
+    seen = []
+    fit = models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, df: seen.append(df.rdd) or fit(self, df))
+    monkeypatch.setattr(models, "TRAIN_ROWS", 1)
+    rows = models.VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.range(90).select(F.col("id"), (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 < 4).cast("int").alias("y"))
+    ).repartition(40)
+    params = models.TreeParams(trees=2)
+    models.fit_gbt_churn(rows, "y", params)
+    monkeypatch.setattr(models, "MOST_TRAIN_ROWS", 5)
+    models.fit_gbt_churn(rows, "y", params)
+    assert [rdd.getNumPartitions() for rdd in seen] == [8, 18]  # two a core; no more than five rows in one
+    monkeypatch.setattr(models, "MOST_TRAIN_ROWS", 500)
+    seen.clear()
+    scores = {r["metric"]: r["mean"] for r in models.cv_score(rows, "id", "y", 2, params).collect()}
+    assert scores["roc_auc"] == 1.0
+    assert all(rdd.getNumPartitions() <= 4 for rdd in seen) and len(seen) == 2
+    assert not any("Shuffled" in rdd.toDebugString().decode() for rdd in seen)  # no lineage that each task would read
+
+
 @pytest.mark.parametrize("buckets, most, fewer", [(2**20, 5, True), (2**20, 40, True), (64, 5, True), (8, 3, False), (2**20, 5000, False)])
 def test_vocabulary_of_counted_buckets_is_that_of_all_terms(spark, monkeypatch, buckets, most, fewer):
     monkeypatch.setattr(features, "BUCKETS", buckets, raising=False)
