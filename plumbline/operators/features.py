@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover, VectorSlicer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,6 +61,15 @@ def term_counts(df: DataFrame, by: list[str] = [], terms: str = "terms") -> Data
     return _term_rows(df.select(*by, terms), terms).groupBy(*by, "term").agg(F.sum("n").cast("long").alias("tf"), F.count(F.lit(1)).alias("df"))
 
 
+def part_term_counts(df: DataFrame, part: str, parts: int, terms: str = "terms") -> DataFrame:
+    """`term_counts` over all rows, with those of the parts 0 to `parts - 1` in `tf_<i>` and `df_<i>`; one shuffle as well."""
+    n, one = F.col("n"), F.lit(1)
+    within = [F.col(part) == i for i in range(parts)]
+    sums = [F.sum(F.when(own, n).otherwise(0)).cast("long").alias(f"tf_{i}") for i, own in enumerate(within)]
+    sums += [F.count(F.when(own, one)).alias(f"df_{i}") for i, own in enumerate(within)]
+    return _term_rows(df.select(part, terms), terms).groupBy("term").agg(F.sum(n).cast("long").alias("tf"), F.count(one).alias("df"), *sums)
+
+
 def _listed(terms: str, value: str, numbers: list[int]) -> Column:
     """The terms of the array whose `value`, an expression over `t`, is among the numbers."""
     return F.expr(f"filter(`{terms}`, t -> {value} IN ({', '.join(f'{n}L' for n in numbers) or 'NULL'}))")
@@ -126,12 +135,24 @@ def vectorizer(vocabulary: DataFrame, n_texts: int, terms: str = "terms", out: s
 
     The vocabulary comes to the driver: at most `max_features` rows.
     """
-    rows = vocabulary.select("term", idf(F.lit(n_texts), F.col("df")).alias("idf")).orderBy("term").collect()
-    names = [row["term"] for row in rows]
+    names, weights = _idf_weights(vocabulary, n_texts)
     counts = CountVectorizerModel.from_vocabulary(names, inputCol=terms, outputCol="_counts")
-    weighted = ElementwiseProduct(
-        scalingVec=Vectors.dense([row["idf"] for row in rows]), inputCol="_counts", outputCol="_weighted"
-    )
-    scaled = Normalizer(p=2.0, inputCol="_weighted", outputCol=out)
-    return PipelineModel([counts, weighted, scaled]), names
+    return PipelineModel([counts, *_weighted(weights, out)]), names
+
+
+def sliced_vectorizer(every: list[str], vocabulary: DataFrame, n_texts: int, counts: str = "counts", out: str = "features") -> PipelineModel:
+    """Transformer from counts of the terms `every`, in their order, to the vectors that `vectorizer` gives for a vocabulary of them."""
+    names, weights = _idf_weights(vocabulary, n_texts)
+    place = {term: i for i, term in enumerate(every)}
+    own = VectorSlicer(inputCol=counts, outputCol="_counts", indices=[place[term] for term in names])
+    return PipelineModel([own, *_weighted(weights, out)])
+
+
+def _idf_weights(vocabulary: DataFrame, n_texts: int) -> tuple[list[str], list[float]]:
+    rows = vocabulary.select("term", idf(F.lit(n_texts), F.col("df")).alias("idf")).orderBy("term").collect()
+    return [row["term"] for row in rows], [row["idf"] for row in rows]
+
 
+def _weighted(weights: list[float], out: str) -> list:
+    weighted = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_counts", outputCol="_weighted")
+    return [weighted, Normalizer(p=2.0, inputCol="_weighted", outputCol=out)]

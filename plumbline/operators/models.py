@@ -17,13 +17,20 @@ from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
 )
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import flag_to_int, number_or_zero, rounded
-from plumbline.operators.features import english_stop_words, ngram_vocabulary, term_counts, vectorizer, with_terms
+from plumbline.operators.features import (
+    english_stop_words,
+    ngram_vocabulary,
+    part_term_counts,
+    sliced_vectorizer,
+    vectorizer,
+    with_terms,
+)
 from plumbline.operators.metrics import predict_majority, score_ranked
 from plumbline.operators.sampling import stratified_kfold
 from plumbline.storage import checkpointed, name_checkpoints
@@ -33,11 +40,15 @@ Result = TypeVar("Result")
 #: Training rows per partition, least and most. A fit is a long series of jobs over cached rows; many parts only add scheduling.
 TRAIN_ROWS = 25_000
 MOST_TRAIN_ROWS = 500_000
+#: Texts in a partition of a fit, least and most, and the fits on texts that run side by side: each holds its vectors in memory.
+TRAIN_TEXTS = 1_000
+MOST_TRAIN_TEXTS = 50_000
+TEXT_FITS = 2
 
 
-def for_each_fold(spark: SparkSession, k: int, fit: Callable[[int], Result]) -> list[Result]:
-    """Results of `fit` for the folds 0..k-1. The fits do not depend on each other, so their jobs run side by side."""
-    with ThreadPoolExecutor(max_workers=k) as pool:
+def for_each_fold(spark: SparkSession, k: int, fit: Callable[[int], Result], beside: int | None = None) -> list[Result]:
+    """Results of `fit` for the folds 0..k-1. The fits do not depend on each other, so their jobs run side by side, `beside` at a time."""
+    with ThreadPoolExecutor(max_workers=beside or k) as pool:
         return list(pool.map(inheritable_thread_target(spark)(fit), range(k)))
 
 
@@ -83,22 +94,20 @@ def fit_balanced_lr(df: DataFrame, label: str, n_rows: int, params: TextParams,
 def fold_vocabularies(df: DataFrame, folds: str, k: int, params: TextParams) -> DataFrame:
     """`(held_out, term, tf, df)`: the vocabulary of each training part, from one count over all folds.
 
-    Counts are taken per fold and term once; a training part's counts are the totals minus its own fold's.
+    A term is counted once, in all and in each fold; a training part's counts are the totals minus its own fold's. Most
+    terms are in fewer than `min_df` texts of all, and so of any part; they go before there is a row for each part.
     """
-    per_fold = term_counts(df, [folds])
-    cells = per_fold.groupBy("term").agg(
-        F.sum("tf").alias("tf_all"),
-        F.sum("df").alias("df_all"),
-        F.map_from_entries(F.collect_list(F.struct(folds, "tf"))).alias("_tf"),  # at most k entries
-        F.map_from_entries(F.collect_list(F.struct(folds, "df"))).alias("_df"),
+    cells = part_term_counts(df, folds, k).filter(F.col("df") >= params.min_df)
+    parts = (
+        F.struct(
+            F.lit(i).alias("held_out"),
+            (F.col("tf") - F.col(f"tf_{i}")).alias("tf"),
+            (F.col("df") - F.col(f"df_{i}")).alias("df"),
+        )
+        for i in range(k)
     )
-    each = cells.withColumn("held_out", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-
-    def rest(total: str, part: str):
-        return F.col(total) - F.coalesce(F.try_element_at(F.col(part), F.col("held_out")), F.lit(0))
-
-    counted = each.select("held_out", "term", rest("tf_all", "_tf").alias("tf"), rest("df_all", "_df").alias("df"))
-    return counted.filter(F.col("df") >= params.min_df)
+    each = cells.select("term", F.explode(F.array(*parts)).alias("_part")).select("_part.held_out", "term", "_part.tf", "_part.df")
+    return each.filter(F.col("df") >= params.min_df)
 
 
 def fit_text_model(train: DataFrame, vocabulary: DataFrame, label: str, params: TextParams) -> tuple[PipelineModel, LogisticRegressionModel, list[str]]:
@@ -117,20 +126,36 @@ def cross_val_predict(df: DataFrame, key: str, label: str, text: str, k: int = 5
     """Out-of-fold prediction of every row: `(key, label, fold, predicted_label, p)`.
 
     Vocabulary, weights and model are fitted anew on each training part. The loop runs over the k folds only; all
-    work inside is distributed.
+    work inside is distributed. Texts are cut into terms twice, for the vocabularies and for the counts of their terms (at
+    most `k * max_features`): those are held, once for all folds, and not the terms, which are larger than the texts.
     """
-    folds = stratified_kfold(df, key, label, k)
+    spark = df.sparkSession
+    folds = checkpointed(stratified_kfold(df, key, label, k))
     # The texts are joined to their folds before they are cut into terms: a text is smaller than its n-grams.
     texts = folds.join(df.select(key, text), key)
-    terms = with_terms(texts, text, params.stop_list(), params.longest)
-    rows = terms.select(key, label, "fold", "terms").persist()
-    counted = fold_vocabularies(rows, "fold", k, params).persist()
+    terms = with_terms(texts, text, params.stop_list(), params.longest).select(key, label, "fold", "terms")
+    counted = fold_vocabularies(terms, "fold", k, params).persist()
+
+    def vocabulary(fold: int) -> DataFrame:
+        own = counted.filter(F.col("held_out") == fold)
+        return checkpointed(own.orderBy(F.desc("tf"), F.asc("term")).limit(params.max_features))
+
+    try:
+        counted.count()
+        vocabularies = for_each_fold(spark, k, vocabulary)
+    finally:
+        counted.unpersist()
+    every = sorted({row["term"] for one in vocabularies for row in one.select("term").collect()})
+    counts = CountVectorizerModel.from_vocabulary(every, inputCol="terms", outputCol="counts")
+    rows = counts.transform(terms).select(key, label, "fold", "counts").persist()
 
     def out_of_fold(fold: int) -> DataFrame:
-        vocabulary = (
-            counted.filter(F.col("held_out") == fold).orderBy(F.desc("tf"), F.asc("term")).limit(params.max_features)
-        )
-        transform, model, _ = fit_text_model(rows.filter(F.col("fold") != fold), vocabulary, label, params)
+        n_rows = sum(n for other, n in sizes.items() if other != fold)
+        transform = sliced_vectorizer(every, vocabularies[fold], n_rows)
+        train = transform.transform(rows.filter(F.col("fold") != fold)).select(label, "features")
+        # An iteration is a job over all rows, which the fit holds as blocks; a small task costs more than its rows.
+        parts = max(1, min(-(-n_rows // TRAIN_TEXTS), 2 * spark.sparkContext.defaultParallelism), -(-n_rows // MOST_TRAIN_TEXTS))
+        model = fit_balanced_lr(train.coalesce(parts), label, n_rows, params)
         scored = model.transform(transform.transform(rows.filter(F.col("fold") == fold)))
         return scored.select(
             key,
@@ -141,10 +166,9 @@ def cross_val_predict(df: DataFrame, key: str, label: str, text: str, k: int = 5
         )
 
     try:
-        counted.count()
-        return checkpointed(reduce(DataFrame.unionByName, for_each_fold(df.sparkSession, k, out_of_fold)))
+        sizes = {row["fold"]: row["count"] for row in rows.groupBy("fold").count().collect()}
+        return checkpointed(reduce(DataFrame.unionByName, for_each_fold(spark, k, out_of_fold, TEXT_FITS)))
     finally:
-        counted.unpersist()
         rows.unpersist()
 
 

@@ -88,6 +88,38 @@ def test_out_of_fold_predictions_cover_every_row_once(spark):
     assert all(r["predicted_label"] == r["y"] for r in out)
 
 
+def test_cross_validation_holds_counts_and_not_terms(spark, monkeypatch):
+    texts = [(i, f"{'we are leaving now' if i % 4 == 0 else 'all is well here'} case {i % 5} only{i}", int(i % 4 == 0)) for i in range(40)]
+    df = spark.createDataFrame([*texts, (40, None, 0)], "id long, t string, y int").repartition(40)
+    held, fits, now = [], [], set()
+    fit = models.LogisticRegression.fit
+
+    def seen_fit(self, train):
+        now.add(id(train))
+        fits.append((len(now), train.rdd.getNumPartitions(), train.storageLevel.useMemory))
+        try:
+            return fit(self, train)
+        finally:
+            now.discard(id(train))
+
+    monkeypatch.setattr(type(df), "persist", lambda self, *level: held.append(self) or type(df).cache(self))
+    monkeypatch.setattr(models.LogisticRegression, "fit", seen_fit)
+    out = models.cross_val_predict(df, "id", "y", "t", 5, models.TextParams(max_iter=5)).collect()
+    assert sorted(r["id"] for r in out) == list(range(40))
+    assert [one.columns for one in held] == [["held_out", "term", "tf", "df"], ["id", "y", "fold", "counts"]]
+    assert len(fits) == 5 and all(beside <= 2 and parts <= 8 and not kept for beside, parts, kept in fits)
+
+
+def test_sliced_counts_give_the_vectors_of_a_vocabulary(spark, rows):
+    vocabulary = features.ngram_vocabulary(rows, max_features=6)
+    transform, names = features.vectorizer(vocabulary, 7)
+    every = sorted({*names, "answers", "bank", "zz", "a", "closed my"})
+    counts = models.CountVectorizerModel.from_vocabulary(every, inputCol="terms", outputCol="counts").transform(rows)
+    sliced = features.sliced_vectorizer(every, vocabulary, 7).transform(counts).select("id", "features").collect()
+    direct = transform.transform(rows).select("id", "features").collect()
+    assert {r["id"]: r["features"] for r in sliced} == {r["id"]: r["features"] for r in direct}
+
+
 def test_accounts_are_cleaned(spark):
     roles = models.AccountColumns("id", "churn", ("plan",), ("flag",), ("tenure",), ("total",))
     df = spark.createDataFrame(
